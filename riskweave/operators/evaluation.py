@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arithmetic import mean, safe_divide
-from .ordered import exact_quantiles, following, running_totals, score_rank, unit_levels
+from .ordered import exact_quantiles, following, hashed_rank, running_totals, unit_levels
 
 # Costs, grids and clips of the evaluation.
 COST_MISSED, COST_REVIEW = 500.0, 15.0
@@ -64,7 +64,7 @@ def score_steps(df: DataFrame, y: str, score: str) -> DataFrame:
     return running_totals(
         score_counts(df, y, score),
         {"cum_n": F.col("n"), "cum_pos": F.col("pos")},
-        unit_levels(F.col("score"), 3, descending=True),
+        unit_levels(F.col("score"), descending=True),
         [F.col("score").desc()],
         grand=True,
     )
@@ -98,11 +98,26 @@ def ks_statistic(df: DataFrame, y: str, score: str) -> DataFrame:
 
 
 def lift_at(df: DataFrame, y: str, score: str, id_: str, fraction: float = 0.1) -> DataFrame:
-    """Precision among the top fraction of scores over the base rate."""
-    ranked = score_rank(df.select(id_, y, score), score, id_)
-    size = df.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(fraction)))).scalar()
-    top = mean(F.when(F.col("rank") <= size, F.col(y)))
-    return ranked.agg(safe_divide(top, mean(y)).alias("lift"))
+    """Precision among the top fraction of scores over the base rate.
+
+    Only the rows tied at the cut are ranked (in hash order of the id); whole
+    scores above it are known from the counts.
+    """
+    before = F.col("cum_n") - F.col("n")
+    size = F.greatest(F.lit(1), F.floor(F.col("cum_n_all") * F.lit(fraction)))
+    cut = score_steps(df, y, score).select("*", size.alias("size")).where(
+        (before < F.col("size")) & (F.col("size") <= F.col("cum_n"))
+    )
+    cut = cut.select(
+        F.col("score").alias(score), (F.col("size") - before).alias("take"), "size",
+        (F.col("cum_pos") - F.col("pos")).alias("above"), "cum_n_all", "cum_pos_all",
+    )
+    # exactly one score holds the cut, so the broadcast side is one row
+    tied = df.select(id_, y, score).join(F.broadcast(cut), score)
+    ranked = hashed_rank(tied, id_, "tie")
+    hits = F.sum(F.when(F.col("rank") <= F.col("take"), F.col(y))) + F.max("above")
+    base = safe_divide(F.max("cum_pos_all"), F.max("cum_n_all"))
+    return ranked.agg(safe_divide(safe_divide(hits, F.max("size")), base).alias("lift"))
 
 
 def brier_logloss(df: DataFrame, y: str, score: str) -> DataFrame:
@@ -176,23 +191,19 @@ def cost_impact(
     )
 
 
-def _thin(points: DataFrame, size: DataFrame, curve: str) -> DataFrame:
-    """Evenly spaced points of an indexed curve, at most ``CURVE_POINTS``.
+def _kept_position(idx: Column, size: Column) -> Column:
+    """Place of an index among at most ``CURVE_POINTS`` evenly spaced ones, or null.
 
-    ``size`` is the one-row number of points; the wanted positions are few.
+    The k-th kept index is ``floor(k * (size - 1) / 99)``; the spacing is at
+    least one, so an index is kept for at most one k, next to ``idx / spacing``.
     """
-    last = (F.col("m") - 1).cast("double")
-    spread = F.transform(
-        F.sequence(F.lit(0), F.lit(CURVE_POINTS - 1)),
-        lambda k: F.when(k == CURVE_POINTS - 1, F.col("m") - 1).otherwise(
-            F.floor(k.cast("double") * (last / float(CURVE_POINTS - 1)))
-        ),
-    )
-    wanted = F.when(F.col("m") <= CURVE_POINTS, F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1)).otherwise(spread)
-    kept = size.select(F.posexplode(wanted).alias("position", "idx"))
-    return points.join(kept, "idx").select(F.lit(curve).alias("curve"), "position", *[
-        F.round(F.col(c).cast("decimal(20,10)"), 4).cast("decimal(10,4)").alias(c) for c in ("x", "y")
-    ])
+    last = CURVE_POINTS - 1
+    step = (size - 1).cast("double") / float(last)
+    near = F.floor(idx.cast("double") / step)
+    found = F.when(idx == size - 1, F.lit(last).cast("bigint"))
+    for k in (near, near + 1):
+        found = found.when((F.floor(k.cast("double") * step) == idx) & (k < last), k)
+    return F.when(size <= CURVE_POINTS, idx).otherwise(found)
 
 
 def roc_pr_curves(df: DataFrame, y: str, score: str) -> DataFrame:
@@ -201,41 +212,49 @@ def roc_pr_curves(df: DataFrame, y: str, score: str) -> DataFrame:
     The ROC curve leaves out points on a straight line between their
     neighbours; both are thinned to at most 100 evenly spaced points.
     """
-    levels = unit_levels(F.col("score"), 3, descending=True)
+    levels = unit_levels(F.col("score"), descending=True)
+    counts = score_counts(df, y, score).withColumn("down", -F.col("score"))
+    linked = following(counts, ["n", "pos"], levels, ["down"])
+    bend = F.col("next").isNull() | (F.col("next.n") != F.col("n")) | (F.col("next.pos") != F.col("pos"))
+    first = F.col("down") == counts.agg(F.min("down")).scalar()
+    linked = linked.select("score", "n", "pos", (bend | first).alias("corner"))
     steps = running_totals(
-        score_counts(df, y, score).withColumn("neg_score", -F.col("score")),
-        {"cum_n": F.col("n"), "cum_pos": F.col("pos"), "place": F.lit(1).cast("bigint")},
+        linked,
+        {"cum_n": F.col("n"), "cum_pos": F.col("pos"), "place": F.lit(1).cast("bigint"),
+         "turn": F.col("corner").cast("bigint")},
         levels, [F.col("score").desc()], grand=True,
     )
-    corners = following(steps, ["n", "pos"], levels, ["neg_score"])
-    bend = F.col("next").isNull() | (F.col("next.n") != F.col("n")) | (F.col("next.pos") != F.col("pos"))
-    corners = corners.where((F.col("place") == 1) | bend).drop("next")
-    roc = running_totals(
-        corners, {"idx": F.lit(1).cast("bigint")}, levels, [F.col("score").desc()], grand=True
-    )
-    negatives = F.col("cum_n_all") - F.col("cum_pos_all")
-    fpr = safe_divide(F.col("cum_n") - F.col("cum_pos"), negatives)
+    fpr = safe_divide(F.col("cum_n") - F.col("cum_pos"), F.col("cum_n_all") - F.col("cum_pos_all"))
     tpr = safe_divide("cum_pos", "cum_pos_all")
-    roc_size = roc.agg((F.max("idx") + 1).alias("m"))
-    spark = df.sparkSession
-    origin = spark.range(1).select(F.col("id").alias("idx"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    roc_points = roc.select("idx", fpr.alias("x"), tpr.alias("y")).unionByName(origin)
-
-    pr_size = steps.agg((F.max("place") + 1).alias("m"))
-    end = pr_size.select((F.col("m") - 1).alias("idx"), F.lit(0.0).alias("x"), F.lit(1.0).alias("y"))
-    pr_points = steps.select(
-        (F.col("place_all") - F.col("place")).alias("idx"), tpr.alias("x"), safe_divide("cum_pos", "cum_n").alias("y")
-    ).unionByName(end)
-    return _thin(roc_points, roc_size, "roc").unionByName(_thin(pr_points, pr_size, "pr"))
+    turns, places = F.col("turn_all") + 1, F.col("place_all") + 1
+
+    def point(curve: str, when: Column | None, idx: Column, size: Column, x: Column, y_: Column) -> Column:
+        p = F.struct(F.lit(curve).alias("curve"), idx.cast("bigint").alias("idx"), size.alias("size"), x.alias("x"), y_.alias("y"))
+        return p if when is None else F.when(when, p)
+
+    top = F.col("place") == 1  # the highest score also carries the two fixed end points
+    points = F.array(
+        point("roc", F.col("corner"), F.col("turn"), turns, fpr, tpr),
+        point("roc", top, F.lit(0), turns, F.lit(0.0), F.lit(0.0)),
+        point("pr", None, F.col("place_all") - F.col("place"), places, tpr, safe_divide("cum_pos", "cum_n")),
+        point("pr", top, F.col("place_all"), places, F.lit(0.0), F.lit(1.0)),
+    )
+    out = steps.select(F.explode(points).alias("p")).where(F.col("p").isNotNull()).select("p.*")
+    out = out.withColumn("position", _kept_position(F.col("idx"), F.col("size"))).where(F.col("position").isNotNull())
+    return out.select("curve", F.col("position").cast("int").alias("position"), *[
+        F.round(F.col(c).cast("decimal(20,10)"), 4).cast("decimal(10,4)").alias(c) for c in ("x", "y")
+    ])
 
 
 def calibration_curve(df: DataFrame, y: str, score: str, bins: int = CALIBRATION_BINS) -> DataFrame:
     """Quantile bins of the score: mean score against observed rate; empty bins left out."""
-    probs = [i / bins for i in range(bins + 1)]
-    edges = exact_quantiles(df.select(score), [score], probs).select(F.array(*[f"q{i}" for i in range(1, bins)])).scalar()
+    inner = [i / bins for i in range(1, bins)]
+    quantiles = exact_quantiles(df.select(score), [score], inner, unit_range=True)
+    edges = quantiles.agg(F.array_sort(F.collect_list("value"))).scalar()  # bins - 1 values
     binned = df.groupBy(F.col(score).alias("s")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("bigint")).alias("pos")
-    ).withColumn("bin", F.size(F.filter(edges, lambda e: e < F.col("s"))))
+    ).withColumn("edges", edges)
+    binned = binned.withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("s"))))
     n = F.sum("n").cast("double")
     return binned.groupBy("bin").agg(
         F.sum("n").alias("n"),

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import as_col
 
-FANOUT = 1024
+FANOUT = 2**14
 
 
-def unit_levels(u: Column, depth: int = 3, descending: bool = False) -> list[Column]:
-    """Nested ranges of a number in [0, 1]: thousandths, millionths, ...
+def unit_levels(u: Column, depth: int = 2, descending: bool = False) -> list[Column]:
+    """Nested ranges of a number in [0, 1]: 2^14 ranges, each cut into 2^14 again.
 
     Multiplying by a power of two is exact, so the ranges nest exactly.
     Values outside [0, 1] stay in order, only less evenly spread.
@@ -70,7 +70,7 @@ def running_totals(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         whole = [f"_g_{n}" for n in names] if grand else []
-        # the coarsest level has at most a few thousand rows: its totals are the grand totals
+        # the coarsest level is a short list: its totals are the grand totals
         everything = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         first = [F.sum(f"_t_{n}").over(everything).alias(f"_g_{n}") for n in names] if grand and offsets is None else []
         level = level.select(
@@ -155,48 +155,43 @@ def time_rank(df: DataFrame, ts: str, id_: str, name: str = "rank") -> DataFrame
     return out.drop("_digest")
 
 
-def score_rank(df: DataFrame, score: str, id_: str, name: str = "rank") -> DataFrame:
-    """1-based rank by descending score in [0, 1]; ties in hash order of the id."""
-    out = df.withColumn("_digest", seeded_digest(id_, "tie"))
-    out = running_totals(
-        out,
-        {name: F.lit(1).cast("bigint")},
-        [*unit_levels(F.col(score), 2, descending=True), -F.col(score), F.substring("_digest", 1, 2)],
-        [F.col("_digest"), F.col(id_)],
-    )
-    return out.drop("_digest")
-
-
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact interpolated quantiles: one row per column, ``q0, q1, ...`` values.
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], unit_range: bool = False
+) -> DataFrame:
+    """Exact interpolated quantiles as rows ``(column, prob, value)``.
 
     The built-in exact percentile keeps every distinct value in one task.  Here
-    distinct values are counted and their cumulative counts found by ranges.
-    Nulls are ignored.
+    distinct values are counted and their cumulative counts found by ranges
+    (of the span of values, or of [0, 1] with ``unit_range``).  Nulls are ignored.
     """
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    spans = counts.groupBy("column").agg(
-        F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.sum("n").alias("_total")
-    )
-    counts = counts.join(spans, "column")
-    width = F.col("_hi") - F.col("_lo")
-    unit = F.when(width > 0, (F.col("value") - F.col("_lo")) / width).otherwise(F.lit(0.0))
-    cum = running_totals(counts, {"upto": F.col("n")}, unit_levels(unit), [F.col("value")], ["column"])
-
-    def at(position: Column) -> Column:
-        hit = (F.col("upto") - F.col("n") <= position) & (position < F.col("upto"))
-        return F.max(F.when(hit, F.col("value")))
-
-    picks = []
-    for i, q in enumerate(probs):
-        place = F.lit(float(q)) * (F.col("_total") - 1)
-        picks += [at(F.floor(place)).alias(f"_f{i}"), at(F.ceil(place)).alias(f"_c{i}")]
-    picked = cum.groupBy("column").agg(F.max("_total").alias("_total"), *picks)
-    out = []
-    for i, q in enumerate(probs):
-        place = F.lit(float(q)) * (F.col("_total") - 1)
-        frac = place - F.floor(place)
-        out.append((F.col(f"_f{i}") + (F.col(f"_c{i}") - F.col(f"_f{i}")) * frac).alias(f"q{i}"))
-    return picked.select("column", *out)
+    unit = F.col("value")
+    if not unit_range:
+        # one row per column: broadcast is bounded by the number of columns
+        spans = long.groupBy("column").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+        counts = counts.join(F.broadcast(spans), "column")
+        width = F.col("_hi") - F.col("_lo")
+        unit = F.when(width > 0, (F.col("value") - F.col("_lo")) / width).otherwise(F.lit(0.0))
+    cum = running_totals(counts, {"upto": F.col("n")}, unit_levels(unit), [F.col("value")], ["column"], grand=True)
+    # each distinct value holds the positions [upto - n, upto); pick the wanted ones
+    start, end, last = F.col("upto") - F.col("n"), F.col("upto"), F.col("upto_all") - 1
+    ends = []
+    for q in probs:
+        place = F.lit(float(q)) * last
+        low, high = F.floor(place), F.ceil(place)
+        frac = place - low
+        has_low, has_high = (start <= low) & (low < end), (start <= high) & (high < end)
+        ends.append(
+            F.when(
+                has_low | has_high,
+                F.struct(
+                    F.lit(float(q)).alias("prob"), frac.alias("frac"),
+                    F.when(has_low, F.col("value")).alias("low"), F.when(has_high, F.col("value")).alias("high"),
+                ),
+            )
+        )
+    hits = cum.select("column", F.explode(F.filter(F.array(*ends), lambda e: e.isNotNull())).alias("e")).select("column", "e.*")
+    found = hits.groupBy("column", "prob").agg(F.max("frac").alias("frac"), F.max("low").alias("low"), F.max("high").alias("high"))
+    return found.select("column", "prob", (F.col("low") + (F.col("high") - F.col("low")) * F.col("frac")).alias("value"))

@@ -147,7 +147,7 @@ def group_compare(df: DataFrame, flag: str, value: str, median_of: str | None =
     )
     if median_of is None:
         return means
-    median = exact_quantiles(df.where(F.col(flag) == 1), [median_of], [0.5]).select(F.col("q0").alias("median_flagged"))
+    median = exact_quantiles(df.where(F.col(flag) == 1), [median_of], [0.5]).select(F.col("value").alias("median_flagged"))
     return one_row(means, median)
 
 

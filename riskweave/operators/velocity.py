@@ -80,8 +80,10 @@ def trailing_windows(
         units = F.coalesce(F.round(F.col(amount).cast("decimal(28,6)") * unit).cast("bigint"), F.lit(0).cast("bigint"))
 
     # kinds: 0 carried into the next bucket, 1 enters, 2 + i leaves window i
+    wide = units.cast("decimal(19,0)")
+    squares = [(wide * wide).cast("decimal(38,0)").alias("_uu")] if any(w.std for w in windows) else []
     events = prepared.where(usable).select(
-        "*", units.alias("_u"), F.explode(F.array(*[F.lit(k) for k in range(len(windows) + 2)])).alias("_kind")
+        "*", units.alias("_u"), *squares, F.explode(F.array(*[F.lit(k) for k in range(len(windows) + 2)])).alias("_kind")
     )
     kind, t = F.col("_kind"), F.col("_t")
     own = F.expr(_bucket_sql(bucket))
@@ -109,8 +111,7 @@ def trailing_windows(
         if w.total or w.std:
             sums[f"_s{i}"] = delta(i, F.col("_u"))
         if w.std:
-            wide = F.col("_u").cast("decimal(19,0)")
-            sums[f"_q{i}"] = delta(i, (wide * wide).cast("decimal(38,0)")).cast("decimal(38,0)")
+            sums[f"_q{i}"] = delta(i, F.col("_uu")).cast("decimal(38,0)")
     needed = F.lit(False)
     for flag in spill:
         needed = needed | flag

@@ -136,7 +136,7 @@ def customer_features_90d(t):
 
 @query("join_customer_360", "loans txns predictions subscribers", "WITH " + LATEST_P.format(where="") + """
  SELECT c.c_custkey AS customer_id, coalesce(loan_count_total,0) AS loan_count_total, coalesce(fraud_count_90d,0) AS fraud_count_90d,
-  coalesce(s.monthly_charges,0) AS monthly_charges, coalesce(d.prediction_score,0) AS default_probability,
+  coalesce(s.monthly_charges,0)::DECIMAL(8,2) AS monthly_charges, coalesce(d.prediction_score,0) AS default_probability,
   coalesce(h.prediction_score,0) AS churn_probability
  FROM customer c LEFT JOIN lf ON lf.customer_id=c.c_custkey LEFT JOIN ff ON ff.customer_id=c.c_custkey
  LEFT JOIN subscribers s ON s.customer_id=c.c_custkey
