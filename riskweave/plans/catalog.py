@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     kpi_queries,
     scoring_queries,
     segment_queries,
+    streaming_queries,
     window_queries,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401
