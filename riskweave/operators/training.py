@@ -106,10 +106,8 @@ def _ready(df: DataFrame, y: str) -> DataFrame:
 def rebalance(encoded: DataFrame, y: str, id_: str) -> DataFrame:
     """SMOTE to a quarter of the majority, then the majority down to twice the minority."""
     rows = encoded.select(id_, y, vector_to_array("features").alias("v"))
-    grown = resample_smote(rows, y, id_, "v")
-    grown = grown.withColumn("_key", F.monotonically_increasing_id())
-    # synthetic rows share ids with their origin; only real majority rows are ranked
-    kept = resample_under(grown, y, id_)
+    # synthetic rows share the id of their origin, but only majority rows are ranked
+    kept = resample_under(resample_smote(rows, y, id_, "v"), y, id_)
     return kept.select(id_, y, array_to_vector("v").alias("features"))
 
 

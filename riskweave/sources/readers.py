@@ -41,7 +41,7 @@ def read_gzip_csv(
 
     Without a number of partitions adaptive execution sizes them."""
     df = read_csv(spark, path, schema)
-    return df.repartition(partitions) if partitions else df.repartition()
+    return df.repartition(partitions) if partitions else df.hint("rebalance")
 
 
 def read_table(
