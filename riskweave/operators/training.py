@@ -69,7 +69,7 @@ def preprocessor(train: DataFrame, spec: FeatureSpec) -> Pipeline:
     medians = {r["column"]: r["value"] for r in exact_quantiles(typed, numeric, [0.5]).collect()}
     filled = typed.select(*[F.coalesce(F.col(c), F.lit(medians.get(c, 0.0))).alias(c) for c in numeric])
     stats = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in numeric], *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric]).first()
-    modes = {r["column"]: r["mode"] for r in column_modes(train, categorical).collect()}
+    modes = {r["column"]: r["mode"] for r in column_modes(train, categorical).collect()} if categorical else {}
 
     def z(c: str) -> str:
         mean, spread = stats[f"m_{c}"] or 0.0, stats[f"s_{c}"] or 1.0
@@ -85,7 +85,7 @@ def preprocessor(train: DataFrame, spec: FeatureSpec) -> Pipeline:
             StringIndexer(inputCols=[f"{c}__v" for c in categorical], outputCols=[f"{c}__i" for c in categorical], handleInvalid="keep"),
             OneHotEncoder(inputCols=[f"{c}__i" for c in categorical], outputCols=[f"{c}__o" for c in categorical], dropLast=True),
         ]
-    stages.append(VectorAssembler(inputCols=[f"{c}__z" for c in numeric] + [f"{c}__o" for c in categorical], outputCol="features"))
+    stages.append(VectorAssembler(inputCols=[*[f"{c}__z" for c in numeric], *[f"{c}__o" for c in categorical]], outputCol="features"))
     return Pipeline(stages=stages)
 
 
@@ -111,33 +111,60 @@ def rebalance(encoded: DataFrame, y: str, id_: str) -> DataFrame:
     return kept.select(id_, y, array_to_vector("v").alias("features"))
 
 
-def fit_candidate(train: DataFrame, spec: FeatureSpec, estimator: Estimator, id_: str, resample: bool = False) -> PipelineModel:
-    """Preprocessing and estimator fitted on the training rows only."""
+def encode(train: DataFrame, spec: FeatureSpec, id_: str, resample: bool = False) -> tuple[PipelineModel, DataFrame]:
+    """Preprocessing fitted on the training rows, and those rows ready to fit on."""
     prep = preprocessor(train, spec).fit(train)
-    encoded = prep.transform(train)
+    encoded = prep.transform(train).select(id_, spec.target, "features")
     if resample:
-        encoded = rebalance(encoded.select(id_, spec.target, "features"), spec.target, id_)
-    ready = _ready(encoded.select(spec.target, "features"), spec.target).select("label", "weight", "features")
+        encoded = rebalance(encoded, spec.target, id_)
+    return prep, _ready(encoded, spec.target).select("label", "weight", "features")
+
+
+def fit_candidate(train: DataFrame, spec: FeatureSpec, estimator: Estimator, id_: str, resample: bool = False) -> PipelineModel:
+    """One pipeline of preprocessing and estimator, fitted on the training rows only."""
+    prep, ready = encode(train, spec, id_, resample)
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = estimator.fit(ready)
+        return PipelineModel(stages=[*prep.stages, estimator.fit(ready)])
     finally:
         ready.unpersist()
-    return PipelineModel(stages=[*prep.stages, model])
 
 
 def scored(model: PipelineModel, df: DataFrame, id_: str, y: str) -> DataFrame:
     return model.transform(df).select(id_, y, vector_to_array("probability")[1].alias("score"))
 
 
-def out_of_fold(folded: DataFrame, spec: FeatureSpec, estimator: Estimator, id_: str, k: int, resample: bool = False) -> DataFrame:
-    """Scores of every row from the model that has not seen it."""
-    parts = None
-    for fold in range(k):
-        model = fit_candidate(folded.where(F.col("fold") != fold), spec, estimator, id_, resample)
-        part = scored(model, folded.where(F.col("fold") == fold), id_, spec.target)
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+class EncodedFolds:
+    """Each fold encoded once, for all candidates and settings tried on it."""
+
+    def __init__(self, folded: DataFrame, spec: FeatureSpec, id_: str, k: int, resample: bool = False):
+        self.spec, self.id_ = spec, id_
+        self.folds: list[tuple[DataFrame, DataFrame]] = []
+        self.source = folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+        for fold in range(k):
+            prep, train = encode(folded.where(F.col("fold") != fold), spec, id_, resample)
+            test = prep.transform(folded.where(F.col("fold") == fold)).select(id_, spec.target, "features")
+            self.folds.append((train.persist(StorageLevel.MEMORY_AND_DISK), test.persist(StorageLevel.MEMORY_AND_DISK)))
+
+    def __enter__(self) -> EncodedFolds:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for pair in self.folds:
+            for part in pair:
+                part.unpersist()
+        self.source.unpersist()
+
+    def out_of_fold(self, estimator: Estimator) -> DataFrame:
+        """Scores of every row from the model that has not seen it."""
+        parts = None
+        for train, test in self.folds:
+            part = scored(estimator.fit(train), test, self.id_, self.spec.target)
+            parts = part if parts is None else parts.unionByName(part)
+        return parts
+
+    def auc(self, estimator: Estimator) -> float:
+        return _auc(self.out_of_fold(estimator), self.spec.target)
 
 
 def _auc(df: DataFrame, y: str) -> float:
@@ -145,21 +172,18 @@ def _auc(df: DataFrame, y: str) -> float:
 
 
 def tune_winner(
-    folded: DataFrame, spec: FeatureSpec, name: str, estimator: Estimator, id_: str, k: int = SEARCH_FOLDS,
-    draws: int = SEARCH_DRAWS, resample: bool = False, grid: Mapping[str, Sequence] | None = None,
+    folds: EncodedFolds, name: str, estimator: Estimator, draws: int = SEARCH_DRAWS, grid: Mapping[str, Sequence] | None = None
 ) -> tuple[Estimator, float]:
     """Best of a seeded random draw of settings by cross-validated ROC-AUC."""
     space = grid or GRIDS[name]
     every = [dict(zip(space, values)) for values in itertools.product(*space.values())]
-    picked = random.Random(SEED).sample(every, min(draws, len(every)))
     best: tuple[Estimator, float] = (estimator, -1.0)
-    for setting in picked:
-        trial = estimator.copy()
+    for setting in random.Random(SEED).sample(every, min(draws, len(every))):
         plain = {p: v for p, v in setting.items() if p != "weighted"}
-        trial = trial.copy({trial.getParam(p): v for p, v in plain.items()})
+        trial = estimator.copy({estimator.getParam(p): v for p, v in plain.items()})
         if setting.get("weighted") is False:
             trial.clear(trial.weightCol)
-        auc = _auc(out_of_fold(folded, spec, trial, id_, k, resample), spec.target)
+        auc = folds.auc(trial)
         if auc > best[1]:
             best = (trial, auc)
     return best
@@ -297,22 +321,19 @@ def _train(parts, spec, y, id_, folds, small, tune, draws, resample, grid, model
         fit_part, val = train, parts.where(F.col("part") == "test")
     test = parts.where(F.col("part") == "test")
     k = fold_count(fit_part, y, folds)
-    folded = kfold_stratified(fit_part, y, id_, k).persist(StorageLevel.MEMORY_AND_DISK)
     board, tried = [], models(spec.task, small)
-    try:
+    with EncodedFolds(kfold_stratified(fit_part, y, id_, k), spec, id_, k, resample) as encoded:
         for name, estimator in tried.items():
             started = time.time()
-            auc = _auc(out_of_fold(folded, spec, estimator, id_, k, resample), y)
+            auc = encoded.auc(estimator)
             board.append({"task": spec.task, "algorithm": name, "cv_roc_auc": round(auc, 4), "training_seconds": round(time.time() - started, 2)})
-        best = max(board, key=lambda r: r["cv_roc_auc"])
-        winner, tuning = tried[best["algorithm"]], None
-        if tune:
-            started = time.time()
-            search_folds = kfold_stratified(fit_part, y, id_, min(SEARCH_FOLDS, k), seed=7)
-            winner, _ = tune_winner(search_folds, spec, best["algorithm"], winner, id_, min(SEARCH_FOLDS, k), draws, resample, grid)
-            tuning = round(time.time() - started, 2)
-    finally:
-        folded.unpersist()
+    best = max(board, key=lambda r: r["cv_roc_auc"])
+    winner, tuning = tried[best["algorithm"]], None
+    if tune:
+        started, k_search = time.time(), min(SEARCH_FOLDS, k)
+        with EncodedFolds(kfold_stratified(fit_part, y, id_, k_search, seed=7), spec, id_, k_search, resample) as encoded:
+            winner, _ = tune_winner(encoded, best["algorithm"], winner, draws, grid)
+        tuning = round(time.time() - started, 2)
     model = fit_candidate(fit_part, spec, winner, id_, resample)
     raw_val, raw_test = scored(model, val, id_, y), scored(model, test, id_, y)
     calibrator = calibrate_scores(raw_val, y, "score", id_) if holdout else None

@@ -167,7 +167,8 @@ def train_candidates(t):
 @query("tune_winner")
 def tune_winner(t):
     folded = P.kfold_stratified(loan_frame(t), "default_flag", "loan_id", 2)
-    best, auc = TR.tune_winner(folded, SPEC, "logistic_regression", TR.candidates("churn")["logistic_regression"], "loan_id", k=2, draws=2)
+    with TR.EncodedFolds(folded, SPEC, "loan_id", 2) as folds:
+        best, auc = TR.tune_winner(folds, "logistic_regression", TR.candidates("churn")["logistic_regression"], draws=2)
     return t.spark.createDataFrame([(best.getOrDefault(best.getParam("regParam")), auc)], "reg_param double, cv_roc_auc double")
 
 

@@ -29,20 +29,21 @@ def build_session(app: str = "riskweave", cores: int | str = "*", **conf: str) -
     return spark
 
 
+_local_base: str | None = None
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; a local
-    temporary folder is only made where that setting is absent (local runs).
+    The cluster names a shared folder in ``spark.checkpoint.dir``.  Only a local
+    session without that setting gets a temporary folder of its own.
     """
+    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="riskweave-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if _local_base is None:
+            _local_base = tempfile.mkdtemp(prefix="riskweave-")
+        base = _local_base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the folder of ``spark.checkpoint.dir``."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_dir(spark, "checkpoints"))

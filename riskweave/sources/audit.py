@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
@@ -31,8 +32,12 @@ def audited_write(
     started = datetime.now(timezone.utc).replace(tzinfo=None)
     spark = df.sparkSession
     flag = F.lit(False) if bad is None else F.coalesce(bad, F.lit(False))
+    # The observation lives in a session of its own: fitted models that still hold
+    # their training summary cannot be sent to tasks from a session with observers.
+    view = f"audited_{uuid.uuid4().hex}"
+    df.withColumn("_bad", flag).createGlobalTempView(view)
     seen = Observation()
-    observed = df.withColumn("_bad", flag).observe(
+    observed = spark.newSession().table(f"global_temp.{view}").observe(
         seen, F.count(F.lit(1)).alias("read"), F.count_if("_bad").alias("failed")
     )
     status, error, read, failed = "SUCCESS", None, None, None
@@ -42,6 +47,8 @@ def audited_write(
         read, failed = seen.get["read"], seen.get["failed"]
     except Exception as exc:  # the audit row must exist for failed loads too
         status, error, problem = "FAILED", str(exc)[:500], exc
+    finally:
+        spark.catalog.dropGlobalTempView(view)
     done = datetime.now(timezone.utc).replace(tzinfo=None)
     written = None if read is None else read - failed
     row = spark.createDataFrame(
