@@ -83,7 +83,7 @@ def customer_features(
         "avg_monthly_spend", "fraud_count_90d", "fraud_total", "loan_count_total", "default_count", "avg_loan_amount",
         "default_probability", "churn_probability", "dti_latest", "credit_score_latest", "last_loan_date",
     )
-    return out.fillna(0)
+    return out.fillna(0, subset=[c for c in out.columns if c != "customer_id"])
 
 
 def upsert_features(features: DataFrame, target: str) -> None:

@@ -140,7 +140,7 @@ def bucketize_rate(t):
  FROM (SELECT *, credit_score+CASE WHEN loan_id%40=0 THEN 500 ELSE 0 END AS f FROM loans)""")
 def bucketize_dti_fico(t):
     f = F.col("credit_score") + F.when(F.col("loan_id") % 40 == 0, F.lit(500)).otherwise(F.lit(0))
-    return t.loans().select("loan_id", B.dti_bucket("dti").alias("dti_bucket"), B.fico_band(f).alias("fico_band"))
+    return t.loans_core().select("loan_id", B.dti_bucket("dti").alias("dti_bucket"), B.fico_band(f).alias("fico_band"))
 
 
 @query("bucketize_amount", "txns", """
@@ -175,7 +175,7 @@ def safe_ratio(t):
 @query("safe_divide", "loans", """
  SELECT loan_id, coalesce(loan_amount::DOUBLE/nullif(dti,0)::DOUBLE,0) AS or_zero, loan_amount::DOUBLE/nullif(dti,0)::DOUBLE AS or_null FROM loans""")
 def safe_divide(t):
-    return t.loans().select(
+    return t.loans_core().select(
         "loan_id", A.safe_divide("loan_amount", "dti").alias("or_zero"), A.safe_divide("loan_amount", "dti", None).alias("or_null")
     )
 
@@ -262,7 +262,7 @@ def assign_surrogate_id(t):
 @query("add_lineage", "loans", """
  SELECT loan_id, 'lending' AS source_system, '2001-08-01' AS etl_date FROM loans""")
 def add_lineage(t):
-    return K.add_lineage(t.loans().select("loan_id"), "lending", "2001-08-01")
+    return K.add_lineage(t.loans_core().select("loan_id"), "lending", "2001-08-01")
 
 
 @query("pack_wide_columns", "", """
@@ -443,7 +443,7 @@ def insert_if_absent(t):
 
 @query("semi_join_known", "loans txns", "SELECT loan_id, customer_id FROM loans WHERE customer_id IN (SELECT customer_id FROM txns)")
 def semi_join_known(t):
-    return J.keep_known(t.loans().select("loan_id", "customer_id"), t.txns(), "customer_id")
+    return J.keep_known(t.loans_core().select("loan_id", "customer_id"), t.txns(), "customer_id")
 
 
 COLOR_SQL = "CASE (r-1)%24+1 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in PALETTE.items()) + " ELSE '#000000' END"

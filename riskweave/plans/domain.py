@@ -55,23 +55,18 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def loans(self) -> DataFrame:
+    def loans_core(self) -> DataFrame:
+        """Loan columns that need no customer attribute: no join, no shuffle."""
         digit = F.substring("o_orderpriority", 1, 1).cast("int")
-        orders = self.raw("orders")
-        customer = self.raw("customer").select("c_custkey", "c_acctbal", "c_mktsegment")
         score = (F.lit(550) + F.col("o_orderkey") % 300).cast("int")
-        amount = F.col("o_totalprice").cast("decimal(12,2)")
-        income = (F.col("c_acctbal").cast("decimal(12,2)") * 10).cast("decimal(14,2)")
-        return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        return self.raw("orders").select(
             F.col("o_orderkey").alias("loan_id"),
             F.col("o_custkey").alias("customer_id"),
-            amount.alias("loan_amount"),
+            F.col("o_totalprice").cast("decimal(12,2)").alias("loan_amount"),
             F.translate(F.substring("o_orderpriority", 1, 1), "12345", "ABCDE").alias("grade"),
-            F.col("c_mktsegment").alias("purpose"),
             F.col("o_orderstatus").alias("loan_status"),
             (F.col("o_orderstatus") == "F").cast("int").alias("default_flag"),
             F.col("o_orderdate").cast("date").alias("issue_date"),
-            income.alias("annual_income"),
             (F.lit(5) + digit * 2).cast("decimal(5,2)").alias("interest_rate"),
             score.alias("credit_score"),
             (F.col("o_orderkey") % 45).cast("int").alias("dti"),
@@ -80,6 +75,14 @@ class Tables:
             (score < 600).cast("int").alias("high_risk"),
         )
 
+    def loans(self) -> DataFrame:
+        """Loans with the borrower's purpose and income."""
+        income = (F.col("c_acctbal").cast("decimal(12,2)") * 10).cast("decimal(14,2)")
+        borrower = self.raw("customer").select(
+            F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("purpose"), income.alias("annual_income")
+        )
+        return self.loans_core().join(borrower, "customer_id", "left")
+
     def subscribers(self) -> DataFrame:
         k = F.col("c_custkey")
         tenure = (k % 73).cast("int")
@@ -235,7 +238,7 @@ class Tables:
         """Feature-store style rows: one per issue month."""
         from ..functions.arithmetic import mean
 
-        return self.loans().groupBy(F.trunc("issue_date", "month").alias("feature_asof_date")).agg(
+        return self.loans_core().groupBy(F.trunc("issue_date", "month").alias("feature_asof_date")).agg(
             mean("default_flag").alias("default_rate"),
             mean("high_risk").alias("customer_risk_score"),
             mean("dti").alias("avg_debt_ratio"),

@@ -31,7 +31,7 @@ def kpi_churn(t):
   sum(loan_amount) AS loan_volume, sum(CASE WHEN default_flag=1 THEN loan_amount END) AS risk_exposure,
   sum(dti)::DOUBLE/count(*) AS avg_dti, count(*) FILTER (WHERE default_flag=1)::DOUBLE/count(*) AS high_risk_loan_rate FROM loans""")
 def kpi_loans(t):
-    return M.totals(t.loans(), M.loan_measures())
+    return M.totals(t.loans_core(), M.loan_measures())
 
 
 @query("kpi_transactions", "txns", """
@@ -152,7 +152,7 @@ def kpi_feature_store_latest(t):
    count(*) AS transactions FROM txns) x,
   (SELECT count(*) FILTER (WHERE upper(trim(status)) IN ('SUCCESS','COMPLETED'))::DOUBLE/count(*) AS run_success_rate FROM runs) r""")
 def kpi_executive(t):
-    return M.executive_banner(t.subscribers(), t.loans(), t.txns(), t.runs())
+    return M.executive_banner(t.subscribers(), t.loans_core(), t.txns(), t.runs())
 
 
 @query("kpi_snapshot_daily", "subscribers loans txns", f"""
@@ -161,7 +161,7 @@ def kpi_executive(t):
   (SELECT count(*) FILTER (WHERE default_flag=0) AS loans_approved, count(*) FILTER (WHERE default_flag=1) AS loans_rejected FROM loans) l,
   (SELECT count(*) FILTER (WHERE is_fraud=1) AS fraud_cases FROM txns) x""")
 def kpi_snapshot_daily(t):
-    return M.daily_snapshot(t.subscribers(), t.loans(), t.txns(), REPORT_DATE)
+    return M.daily_snapshot(t.subscribers(), t.loans_core(), t.txns(), REPORT_DATE)
 
 
 @query("monitoring_by_model", "predictions", """
@@ -199,7 +199,7 @@ def _share(cond: str) -> str:
   (SELECT count(*) AS total_transactions, count(*) FILTER (WHERE is_fraud=1) AS fraud_count, {_avg('is_fraud', 4)} AS fraud_rate,
    {_avg('transaction_amt', 2)} AS avg_transaction_amt FROM txns) x)""")
 def feature_snapshot(t):
-    loans = t.loans().withColumn("debt_ratio", (F.col("loan_id") % 250).cast("decimal(9,2)"))
+    loans = t.loans_core().withColumn("debt_ratio", (F.col("loan_id") % 250).cast("decimal(9,2)"))
     return M.feature_snapshot(t.subscribers(), loans, t.txns(), REPORT_DATE)
 
 
@@ -208,7 +208,7 @@ def feature_snapshot(t):
  FROM (SELECT customer_id, sum(high_risk)::DOUBLE/count(*) AS f, sum(default_flag)::DOUBLE/count(*) AS d,
   CASE WHEN customer_id%5>0 THEN sum(CASE WHEN dti>30 THEN 1 ELSE 0 END)::DOUBLE/count(*) END AS h FROM loans GROUP BY 1)""")
 def composite_risk_score(t):
-    rates = t.loans().groupBy("customer_id").agg(
+    rates = t.loans_core().groupBy("customer_id").agg(
         mean("high_risk").alias("f"), mean("default_flag").alias("d"), mean((F.col("dti") > 30).cast("int")).alias("h0")
     ).withColumn("h", F.when(F.col("customer_id") % 5 > 0, F.col("h0")))
     score = composite_risk("f", "d", "h").cast("decimal(20,10)")

@@ -107,7 +107,7 @@ def impute_mode_onehot(t):
  SELECT loan_id, CASE WHEN r<=floor(greatest(2,floor(n*0.8))*0.8) THEN 'fit' WHEN r<=greatest(2,floor(n*0.8)) THEN 'val' ELSE 'test' END AS part
  FROM (SELECT loan_id, row_number() OVER (ORDER BY issue_date, md5(CAST(loan_id AS VARCHAR)||'|tie'), loan_id) AS r, count(*) OVER () AS n FROM loans)""")
 def split_chronological(t):
-    return P.split_chronological(t.loans().select("loan_id", "issue_date"), "issue_date", "loan_id").select("loan_id", "part")
+    return P.split_chronological(t.loans_core().select("loan_id", "issue_date"), "issue_date", "loan_id").select("loan_id", "part")
 
 
 HASHED = "row_number() OVER (PARTITION BY {y} ORDER BY md5(CAST({id} AS VARCHAR)||'|{seed}'), {id}) AS r, count(*) OVER (PARTITION BY {y}) AS n"
@@ -117,13 +117,13 @@ HASHED = "row_number() OVER (PARTITION BY {y} ORDER BY md5(CAST({id} AS VARCHAR)
  SELECT loan_id, default_flag, CASE WHEN r<=floor(floor(n*0.8)*0.8) THEN 'fit' WHEN r<=floor(n*0.8) THEN 'val' ELSE 'test' END AS part
  FROM (SELECT loan_id, default_flag, {HASHED.format(y='default_flag', id='loan_id', seed=42)} FROM loans)""")
 def split_stratified(t):
-    return P.split_stratified(t.loans().select("loan_id", "default_flag"), "default_flag", "loan_id")
+    return P.split_stratified(t.loans_core().select("loan_id", "default_flag"), "default_flag", "loan_id")
 
 
 @query("kfold_stratified", "loans", f"""
  SELECT loan_id, default_flag, CAST((r-1)%5 AS INTEGER) AS fold FROM (SELECT loan_id, default_flag, {HASHED.format(y='default_flag', id='loan_id', seed=42)} FROM loans)""")
 def kfold_stratified(t):
-    return P.kfold_stratified(t.loans().select("loan_id", "default_flag"), "default_flag", "loan_id")
+    return P.kfold_stratified(t.loans_core().select("loan_id", "default_flag"), "default_flag", "loan_id")
 
 
 @query("resample_under", "txns", f"""

@@ -134,7 +134,7 @@ FRAUD_D = drivers_sql([("transaction_amt", "transaction_amt>500"), ("device_type
 
 
 def loan_requests(t):
-    return t.loans().select(
+    return t.loans_core().select(
         "loan_id", F.col("credit_score").alias("fico_score"), F.col("dti").alias("debt_ratio"), "loan_amount", "grade"
     )
 

@@ -19,7 +19,7 @@ def seg_sql(view: str, key: str, flag: str, value: str | None = None, having: in
 
 @query("segment_rate", "loans", seg_sql("loans", "grade", "default_flag", "loan_amount"))
 def segment_rate(t):
-    return S.segment_rate(t.loans(), "grade", "default_flag", "loan_amount")
+    return S.segment_rate(t.loans_core(), "grade", "default_flag", "loan_amount")
 
 
 @query("segment_rate_min_n", "txns", seg_sql("txns", "coalesce(device_type,'unknown')", "is_fraud", "transaction_amt", 100, "device_type"))
@@ -33,7 +33,7 @@ def segment_rate_min_n(t):
  FROM (SELECT *, CASE WHEN credit_score<=600 THEN '<600' WHEN credit_score<=660 THEN '600-659' WHEN credit_score<=700 THEN '660-699'
   WHEN credit_score<=740 THEN '700-739' ELSE '740+' END AS band FROM loans) GROUP BY 1""")
 def segment_rate_bands(t):
-    return S.segment_rate(t.loans().withColumn("fico_band", B.fico_band("credit_score")), "fico_band", "default_flag", "loan_amount")
+    return S.segment_rate(t.loans_core().withColumn("fico_band", B.fico_band("credit_score")), "fico_band", "default_flag", "loan_amount")
 
 
 @query("segment_rate_amount", "txns", """
@@ -75,12 +75,12 @@ def segment_rank_multi_dim(t):
  UNION ALL (SELECT 'data_health', 'failed_runs', count(*) FILTER (WHERE upper(trim(status)) NOT IN ('SUCCESS','COMPLETED'))::DOUBLE/count(*),
   count(*) FILTER (WHERE upper(trim(status)) NOT IN ('SUCCESS','COMPLETED')), 0::DECIMAL(38,2) FROM runs)""")
 def act_first_list(t):
-    return S.act_first(t.subscribers(), t.loans(), t.txns(), t.runs())
+    return S.act_first(t.subscribers(), t.loans_core(), t.txns(), t.runs())
 
 
 @query("weighted_rate", "loans", "SELECT sum(CASE WHEN default_flag=1 THEN loan_amount END)::DOUBLE/sum(loan_amount)::DOUBLE AS weighted_rate FROM loans")
 def weighted_rate(t):
-    return S.weighted_rate(t.loans(), "default_flag", "loan_amount")
+    return S.weighted_rate(t.loans_core(), "default_flag", "loan_amount")
 
 
 @query("group_compare", "subscribers", """
@@ -110,20 +110,20 @@ def revenue_lost_share(t):
  SELECT *, avg_rate-expected_loss AS margin_pts FROM (SELECT *, default_rate*0.6::DOUBLE*100::DOUBLE AS expected_loss FROM (
   SELECT grade, sum(interest_rate)::DOUBLE/count(*) AS avg_rate, sum(default_flag)::DOUBLE/count(*) AS default_rate, count(*) AS n FROM loans GROUP BY 1)))""")
 def price_vs_loss(t):
-    return S.price_vs_loss(t.loans())
+    return S.price_vs_loss(t.loans_core())
 
 
 @query("vintage_rate", "loans", """
  SELECT CAST(date_trunc('quarter', issue_date) AS DATE) AS vintage, sum(default_flag)::DOUBLE/count(*) AS rate, count(*) AS n
  FROM loans WHERE issue_date IS NOT NULL GROUP BY 1 HAVING count(*)>=100""")
 def vintage_rate(t):
-    return S.vintage_rate(t.loans(), "issue_date", "default_flag")
+    return S.vintage_rate(t.loans_core(), "issue_date", "default_flag")
 
 
 @query("concentration_share", "loans", """
  SELECT grade, sum(loan_amount) AS total, sum(loan_amount)::DOUBLE/(SELECT sum(loan_amount) FROM loans)::DOUBLE AS share FROM loans GROUP BY 1""")
 def concentration_share(t):
-    return S.concentration(t.loans(), "grade", "loan_amount")
+    return S.concentration(t.loans_core(), "grade", "loan_amount")
 
 
 HEAT_SQL = ", ".join(
@@ -225,7 +225,8 @@ def _report(name: str, view: str, category: str, wanted: tuple[str, ...]) -> Non
     def job(t):
         measures = MEASURES[view]()
         order = [category] if category == "tenure_group" else None
-        return M.measure_by(getattr(t, view)(), category, {m: measures[m] for m in wanted}, order)
+        source = "loans_core" if view == "loans" and category != "purpose" else view
+        return M.measure_by(getattr(t, source)(), category, {m: measures[m] for m in wanted}, order)
 
 
 for _name, (_view, _category, _wanted) in REPORTS.items():

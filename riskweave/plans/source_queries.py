@@ -134,6 +134,6 @@ def feature_store_upsert(t):
     target = work_dir(t.spark, "features")
     customers = t.raw("customer").select(F.col("c_custkey").alias("customer_id"))
     for asof in ("2024-01-24", "2024-01-25", "2024-01-25"):
-        FS.upsert_features(FS.customer_features(customers, t.loans(), t.txns(), t.predictions(), asof), target)
+        FS.upsert_features(FS.customer_features(customers, t.loans_core(), t.txns(), t.predictions(), asof), target)
     out = read_table(t.spark, target)
     return out.groupBy("feature_asof_date").agg(F.count(F.lit(1)).alias("n"), F.sum("loan_count_total").alias("loans"))

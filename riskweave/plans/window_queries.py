@@ -122,7 +122,7 @@ def _customers(t):
 
 @query("customer_features", "loans txns predictions", "WITH " + LATEST_P.format(where="") + FEATURES_SQL.format(asof=ASOF[:10]))
 def customer_features(t):
-    return FS.customer_features(_customers(t), t.loans(), t.txns(), t.predictions(), ASOF[:10])
+    return FS.customer_features(_customers(t), t.loans_core(), t.txns(), t.predictions(), ASOF[:10])
 
 
 @query("customer_features_90d", "loans txns predictions", "WITH " + LATEST_P.format(
@@ -130,7 +130,7 @@ def customer_features(t):
 def customer_features_90d(t):
     # the test events span 30 days, so the window is 10 days here (90 by default)
     return FS.customer_features(
-        _customers(t), t.loans(), t.txns(), t.predictions(), ASOF[:10], window_days=10
+        _customers(t), t.loans_core(), t.txns(), t.predictions(), ASOF[:10], window_days=10
     )
 
 
@@ -146,7 +146,7 @@ def join_customer_360(t):
 
     zero = ["loan_count_total", "fraud_count_90d", "monthly_charges", "default_probability", "churn_probability"]
     sides = [
-        FS.loan_features(t.loans()).select("customer_id", "loan_count_total"),
+        FS.loan_features(t.loans_core()).select("customer_id", "loan_count_total"),
         FS.transaction_features(t.txns()).select("customer_id", "fraud_count_90d"),
         t.subscribers().select("customer_id", "monthly_charges"),
         FS.latest_scores(t.predictions()),
