@@ -21,6 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import anomaly as AN
 from . import evaluation as E
 from .ordered import exact_quantiles, hashed_rank
 from .preparation import FeatureSpec, class_counts, class_weights, column_modes, fold_count, kfold_stratified, resample_smote, resample_under, split_for_training
@@ -130,7 +131,27 @@ def fit_candidate(train: DataFrame, spec: FeatureSpec, estimator: Estimator, id_
         ready.unpersist()
 
 
-def scored(model: PipelineModel, df: DataFrame, id_: str, y: str) -> DataFrame:
+@dataclass
+class ForestModel:
+    """Preprocessing and an isolation forest (unsupervised candidate)."""
+
+    prep: PipelineModel
+    nodes: object
+
+    def scores(self, df: DataFrame, id_: str, y: str) -> DataFrame:
+        vectors = self.prep.transform(df).select(id_, y, vector_to_array("features").alias("v"))
+        return AN.anomaly_scores(vectors, id_, "v", nodes=self.nodes)
+
+
+def fit_forest(train: DataFrame, spec: FeatureSpec, id_: str, trees: int = AN.TREES) -> ForestModel:
+    prep = preprocessor(train, spec).fit(train)
+    vectors = prep.transform(train).select(id_, vector_to_array("features").alias("v"))
+    return ForestModel(prep, AN.grow_forest(vectors, id_, "v", trees).toPandas())
+
+
+def scored(model: PipelineModel | ForestModel, df: DataFrame, id_: str, y: str) -> DataFrame:
+    if isinstance(model, ForestModel):
+        return model.scores(df, id_, y)
     return model.transform(df).select(id_, y, vector_to_array("probability")[1].alias("score"))
 
 
@@ -262,7 +283,7 @@ class TrainingResult:
 
     task: str
     algorithm: str
-    model: PipelineModel
+    model: PipelineModel | ForestModel
     calibrator: Calibrator | None
     threshold: float
     metrics: dict[str, float]
@@ -327,16 +348,24 @@ def _train(parts, spec, y, id_, folds, small, tune, draws, resample, grid, model
             started = time.time()
             auc = encoded.auc(estimator)
             board.append({"task": spec.task, "algorithm": name, "cv_roc_auc": round(auc, 4), "training_seconds": round(time.time() - started, 2)})
-    best = max(board, key=lambda r: r["cv_roc_auc"])
-    winner, tuning = tried[best["algorithm"]], None
-    if tune:
+    forest = None
+    if spec.task == "fraud":  # unsupervised, so it is measured on the test part without folds
+        started = time.time()
+        forest = fit_forest(fit_part, spec, id_, 20 if small else AN.TREES)
+        auc = _auc(scored(forest, test, id_, y), y)
+        board.append({"task": spec.task, "algorithm": "isolation_forest", "cv_roc_auc": None, "roc_auc": round(auc, 4),
+                      "training_seconds": round(time.time() - started, 2)})
+    best = max(board, key=lambda r: r["cv_roc_auc"] if r["cv_roc_auc"] is not None else r["roc_auc"])
+    unsupervised = best["algorithm"] == "isolation_forest"
+    winner, tuning = tried.get(best["algorithm"]), None
+    if tune and not unsupervised:
         started, k_search = time.time(), min(SEARCH_FOLDS, k)
         with EncodedFolds(kfold_stratified(fit_part, y, id_, k_search, seed=7), spec, id_, k_search, resample) as encoded:
             winner, _ = tune_winner(encoded, best["algorithm"], winner, draws, grid)
         tuning = round(time.time() - started, 2)
-    model = fit_candidate(fit_part, spec, winner, id_, resample)
+    model = forest if unsupervised else fit_candidate(fit_part, spec, winner, id_, resample)
     raw_val, raw_test = scored(model, val, id_, y), scored(model, test, id_, y)
-    calibrator = calibrate_scores(raw_val, y, "score", id_) if holdout else None
+    calibrator = calibrate_scores(raw_val, y, "score", id_) if holdout and not unsupervised else None
     adjust = calibrator.apply if calibrator else (lambda d: d)
     threshold = _threshold(spec.task, adjust(raw_val), y)
     final = adjust(raw_test).persist(StorageLevel.MEMORY_AND_DISK)
@@ -353,7 +382,7 @@ def _train(parts, spec, y, id_, folds, small, tune, draws, resample, grid, model
     sized = {"train": rows.get("fit", 0) if holdout else rows.get("fit", 0) + rows.get("val", 0),
              "validation": rows.get("val", 0) if holdout else 0, "test": rows.get("test", 0)}
     return TrainingResult(spec.task, best["algorithm"], model, calibrator, threshold, metrics, board, sized,
-                          list(spec.features), holdout, tune)
+                          list(spec.features), holdout, tuning is not None)
 
 
 # ---------------------------------------------------------------- explanation

@@ -33,8 +33,9 @@ def write_messages(t, duplicates: bool = False, bad: bool = False, flush: bool =
     k = F.substring_index("transaction_id", "-", -1).cast("bigint")
     span = rows.agg(F.min("transaction_ts").alias("lo"), F.max("transaction_ts").alias("hi")).first()
     step = (span["hi"] - span["lo"]) / SLICES
+    edges = [F.lit(span["lo"] + step * i).cast("timestamp_ntz") for i in range(SLICES)] + [F.lit(span["hi"]).cast("timestamp_ntz")]
     for i in range(SLICES):
-        lo, hi = F.lit(span["lo"] + step * i).cast("timestamp_ntz"), F.lit(span["lo"] + step * (i + 1)).cast("timestamp_ntz")
+        lo, hi = edges[i], edges[i + 1]
         ts = F.col("transaction_ts")
         mine = rows.where((ts >= lo) & ((ts <= hi) if i == SLICES - 1 else (ts < hi)))
         text = mine.select(payload(mine))

@@ -32,11 +32,12 @@ def replace_partitions(df: DataFrame, target: str, partition_by: str, fmt: str =
     """Overwrite exactly the partitions present in ``df``: a rerun of a day
     replaces that day and leaves the others alone.
 
-    Rows are clustered by the partition column and spread inside it, so a day
-    is written by several tasks instead of every task writing every day.
+    Rows are rebalanced by the partition column first: not every task writes
+    every day, and a day that holds most rows is still written by many tasks.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", partition_by)
+        .write.mode("overwrite")
         .format(fmt)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)

@@ -166,3 +166,17 @@ def test_forest_finds_outliers(spark):
     df = spark.createDataFrame(rows, "id int, v array<double>")
     top = [r["id"] for r in AN.anomaly_scores(df, "id", "v", trees=30).orderBy(F.col("score").desc()).limit(5).collect()]
     assert sum(i >= 1000 for i in top) >= 4
+
+
+def test_fraud_run_includes_the_forest(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(900):
+        y = int(rng.random() < 0.12)
+        rows.append((i, i, rng.gauss(50 + 150 * y, 40), rng.choice(["mobile", "desktop"]), y))
+    df = spark.createDataFrame(rows, "id int, transaction_dt int, transaction_amt double, device_type string, is_fraud int")
+    spec = P.FeatureSpec("fraud", "is_fraud", ("transaction_amt",), ("device_type",))
+    result = TR.train_candidates(df, spec, "id", "transaction_dt", folds=2, small=True, tune=False,
+                                 models=lambda task, small: {"gradient_boosting": TR.candidates(task, small)["gradient_boosting"]})
+    assert {r["algorithm"] for r in result.leaderboard} == {"gradient_boosting", "isolation_forest"}
+    assert result.metrics["baseline_cost"] >= result.metrics["expected_cost"] and result.metrics["roc_auc"] > 0.8
