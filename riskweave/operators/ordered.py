@@ -145,25 +145,25 @@ def hashed_rank(
 def time_rank(df: DataFrame, ts: str, id_: str, name: str = "rank", grand: bool = False) -> DataFrame:
     """1-based rank by time; equal times are put in hash order of the id.
 
-    Days, then exact times, then hash ranges: a timestamp shared by very many
-    rows is split over tasks as well.
+    Days, then seconds, then exact times cut by hash ranges: a timestamp shared
+    by very many rows is split over tasks as well.
     """
     out = df.withColumn("_digest", seeded_digest(id_, "tie"))
     out = running_totals(
         out,
         {name: F.lit(1).cast("bigint")},
-        [_coarse(df, ts), F.col(ts), F.substring("_digest", 1, 2)],
+        [*_calendar_levels(df, ts), F.struct(F.col(ts).alias("t"), F.substring("_digest", 1, 2).alias("d"))],
         [F.col("_digest"), F.col(id_)],
         grand=grand,
     )
     return out.drop("_digest")
 
 
-def _coarse(df: DataFrame, ts: str) -> Column:
-    """Day of a time, or of seconds when times are plain numbers."""
+def _calendar_levels(df: DataFrame, ts: str) -> list[Column]:
+    """Day and second of a time; plain numbers are taken as seconds."""
     if dict(df.dtypes)[ts].startswith(("timestamp", "date")):
-        return F.to_date(ts)
-    return F.floor(F.col(ts) / F.lit(86400))
+        return [F.to_date(ts), F.date_trunc("second", ts)]
+    return [F.floor(F.col(ts) / F.lit(86400)), F.floor(F.col(ts))]
 
 
 def following_many(df: DataFrame, id_: str, vector: str, along: str, k: int) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import as_col
+from .ordered import running_totals
 
 MICROS = 1_000_000
 HOUR = 3600
@@ -58,6 +58,7 @@ def trailing_windows(
     scale: int = 2,
     lower_inclusive: bool = True,
     bucket_seconds: int | None = None,
+    grain_seconds: int | None = None,
 ) -> DataFrame:
     """Count, sum and population std over ``[t - w, t]`` per key.
 
@@ -65,8 +66,14 @@ def trailing_windows(
     ones before it.  A null amount counts as a row of amount 0.  Rows with a
     null key or time get nulls.  Amounts are added as integers of ``scale``
     decimals, so sums are exact.  ``lower_inclusive=False`` gives ``(t - w, t]``.
+
+    ``grain_seconds`` cuts keys much finer than a bucket, for data where one key
+    has too many rows within one bucket: events are then totalled per day and
+    grain first (``running_totals``), at the price of further, smaller shuffles.
     """
     bucket = (bucket_seconds or max(w.seconds for w in windows)) * MICROS
+    if grain_seconds is not None and DAY % grain_seconds:
+        raise ValueError("a grain must divide a day")
     if bucket < max(w.seconds for w in windows) * MICROS:
         raise ValueError("a bucket must be at least as long as the longest window")
     unit = 10**scale
@@ -113,8 +120,9 @@ def trailing_windows(
         if w.std:
             sums[f"_q{i}"] = delta(i, F.col("_uu")).cast("decimal(38,0)")
     needed = F.lit(False)
-    for flag in spill:
-        needed = needed | flag
+    if grain_seconds is None:
+        for flag in spill:
+            needed = needed | flag
     events = events.where((kind != 0) | needed).select(
         F.col(key).alias("_key"),
         at.alias("_at"),
@@ -122,12 +130,16 @@ def trailing_windows(
         *[F.when(kind == 1, F.col(c)).alias(c) for c in columns],
         *[c.alias(n) for n, c in sums.items()],
     )
-    events = events.withColumn("_bucket", F.expr(_bucket_sql(bucket, "_at")))
     order = [F.col("_at"), F.least("_kind", F.lit(2)), *[F.col(c) for c in row_id]]
-    running = Window.partitionBy("_key", "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    events = events.select(
-        *columns, "_kind", *[F.sum(n).over(running).alias(n) for n in sums]
-    ).where(F.col("_kind") == 1)
+    if grain_seconds is None:
+        events = events.withColumn("_bucket", F.expr(_bucket_sql(bucket, "_at")))
+        running = Window.partitionBy("_key", "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        events = events.select(*columns, "_kind", *[F.sum(n).over(running).alias(n) for n in sums])
+    else:
+        levels = [F.expr(_bucket_sql(size, "_at")) for size in (DAY * MICROS, grain_seconds * MICROS)]
+        deltas = events.withColumnsRenamed({n: f"{n}_d" for n in sums})
+        events = running_totals(deltas, {n: f"{n}_d" for n in sums}, levels, order, ["_key"])
+    events = events.where(F.col("_kind") == 1)
 
     features: list[tuple[str, Column, str]] = []
     for i, w in enumerate(windows):

@@ -94,6 +94,9 @@ def test_bucket_length_changes_nothing(spark):
         for b in (86_400, 100_000, 10**9)
     ]
     assert frames[0] == frames[1] == frames[2]
+    for grain in (60, 3600):
+        fine = V.trailing_windows(df, "card1", F.col("t") * 1_000_000, ["rid"], "amt", grain_seconds=grain).orderBy("rid").collect()
+        assert fine == frames[0]
 
 
 def test_cutoff_keeps_earlier_values(spark):
