@@ -74,27 +74,44 @@ def _big(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(19,0)")
 
 
-def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
-    """Area under the ROC curve; a tie counts half."""
+def _roc_auc() -> Column:
     negatives = F.col("n") - F.col("pos")
     wins = F.sum((_big(negatives) * _big(F.col("cum_pos") * 2 - F.col("pos"))).cast("decimal(38,0)"))
     pairs = F.sum("pos").cast("double") * F.sum(negatives).cast("double") * 2.0
-    return score_steps(df, y, score).agg(F.try_divide(wins.cast("double"), pairs).alias("roc_auc"))
+    return F.try_divide(wins.cast("double"), pairs).alias("roc_auc")
 
 
-def pr_auc(df: DataFrame, y: str, score: str) -> DataFrame:
-    """Average precision: recall gained times precision reached, summed in steps."""
+def _pr_auc() -> Column:
     precision = F.col("cum_pos").cast("double") / F.col("cum_n").cast("double")
     gained = F.try_divide(F.col("pos").cast("double"), F.col("cum_pos_all").cast("double"))
-    return score_steps(df, y, score).agg(F.sum(gained * precision).alias("pr_auc"))
+    return F.sum(gained * precision).alias("pr_auc")
 
 
-def ks_statistic(df: DataFrame, y: str, score: str) -> DataFrame:
-    """Largest distance between true and false positive rate."""
+def _ks() -> Column:
     tpr = F.try_divide(F.col("cum_pos").cast("double"), F.col("cum_pos_all").cast("double"))
     false = F.col("cum_n") - F.col("cum_pos")
     fpr = F.try_divide(false.cast("double"), (F.col("cum_n_all") - F.col("cum_pos_all")).cast("double"))
-    return score_steps(df, y, score).agg(F.greatest(F.max(tpr - fpr), F.lit(0.0)).alias("ks"))
+    return F.greatest(F.max(tpr - fpr), F.lit(0.0)).alias("ks")
+
+
+def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
+    """Area under the ROC curve; a tie counts half."""
+    return score_steps(df, y, score).agg(_roc_auc())
+
+
+def pr_auc(df: DataFrame, y: str, score: str) -> DataFrame:
+    """Average precision: recall gained times precision reached, summed in steps."""
+    return score_steps(df, y, score).agg(_pr_auc())
+
+
+def ks_statistic(df: DataFrame, y: str, score: str) -> DataFrame:
+    """Largest distance between true and false positive rate."""
+    return score_steps(df, y, score).agg(_ks())
+
+
+def ranking_metrics(df: DataFrame, y: str, score: str) -> DataFrame:
+    """ROC-AUC, average precision and KS from one pass over the score counts."""
+    return score_steps(df, y, score).agg(_roc_auc(), _pr_auc(), _ks())
 
 
 def lift_at(df: DataFrame, y: str, score: str, id_: str, fraction: float = 0.1) -> DataFrame:
@@ -269,9 +286,7 @@ def evaluate(df: DataFrame, y: str, score: str, id_: str, threshold: float) -> D
 
     return one_row(
         confusion_metrics(df, y, score, threshold),
-        roc_auc(df, y, score),
-        pr_auc(df, y, score),
-        ks_statistic(df, y, score),
+        ranking_metrics(df, y, score),
         lift_at(df, y, score, id_),
         brier_logloss(df, y, score),
     )

@@ -44,6 +44,17 @@ def ks_statistic(t):
     return E.ks_statistic(t.scores(), "y", "score")
 
 
+@query("evaluate_scores", "scores", f"""{STEPS},
+ g2 AS (SELECT score, sum(y)::HUGEINT AS p, sum(1-y)::HUGEINT AS q FROM scores GROUP BY 1),
+ c AS (SELECT *, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0)::HUGEINT AS below FROM g2)
+ SELECT (SELECT sum(p*(2*below+q))::DOUBLE/(sum(p)::DOUBLE*sum(q)::DOUBLE*2) FROM c) AS roc_auc, round(sum(pos::DOUBLE/pp*(cp::DOUBLE/cn)),9) AS pr_auc,
+  greatest(max(cp::DOUBLE/pp-(cn-cp)::DOUBLE/(nn-pp)),0) AS ks, (SELECT count(*) FILTER (WHERE y=1 AND score>=0.5) FROM scores) AS tp,
+  (SELECT count(*) FILTER (WHERE y=0 AND score>=0.5) FROM scores) AS fp FROM st""")
+def evaluate_scores(t):
+    out = E.evaluate(t.scores(), "y", "score", "id", 0.5)
+    return out.select("roc_auc", F.round("pr_auc", 9).alias("pr_auc"), "ks", "tp", "fp")
+
+
 @query("lift_at", "scores", """
  SELECT (sum(CASE WHEN r<=greatest(1,floor(n*0.1)) THEN y END)::DOUBLE/count(*) FILTER (WHERE r<=greatest(1,floor(n*0.1))))
    /(sum(y)::DOUBLE/count(*)) AS lift
