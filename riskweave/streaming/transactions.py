@@ -152,6 +152,9 @@ def insert_batch(target: str, key: str = "transaction_id") -> Callable[[DataFram
 
     Earlier batches are read by their batch id, so a batch that is retried after
     a failure is compared with the same rows and overwrites its own output.
+    Only the key column of the target is read, but all of it: exact for repeats
+    of any age.  Where repeats are known to come within a delay, ``once_within``
+    needs no look at the target.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
