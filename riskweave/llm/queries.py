@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import table
+from riskweave.llm.common import remainder, table
 from riskweave.llm.exact_dedup import content_sort_dedup
+from riskweave.llm.hmm_lm import hmm_scores, with_held_out
+from riskweave.llm.packing import best_two_fit
 from riskweave.llm.simhash import simhash_components
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -27,6 +29,21 @@ FROM t JOIN g USING (norm)
 """
 
 
+def op5_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_scores(with_held_out(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2))
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_two_fit(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), size=4096, end_id=1)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), words=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -34,6 +51,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_hmm_lm": op5_hmm_lm,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op10_simhash": op10_simhash,
 }
 
