@@ -11,7 +11,9 @@ from riskweave.llm.common import remainder, table
 from riskweave.llm.exact_dedup import content_sort_dedup
 from riskweave.llm.hmm_lm import hmm_scores, with_held_out
 from riskweave.llm.packing import best_two_fit
+from riskweave.llm.quality import fit_quality, quality_scores
 from riskweave.llm.simhash import simhash_components
+from riskweave.llm.toxicity import fit_toxicity, toxicity_scores
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -29,6 +31,22 @@ FROM t JOIN g USING (norm)
 """
 
 
+def _held_out(found: DataFrame) -> DataFrame:
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), lambda c: remainder(c, 5) != 0)
+    return _held_out(quality_scores(docs, model, at=0.3))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), lambda c: remainder(c, 5) != 0)
+    return _held_out(toxicity_scores(docs, model, at=0.5))
+
+
 def op5_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_scores(with_held_out(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2))
 
@@ -51,8 +69,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op5_hmm_lm": op5_hmm_lm,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
 
