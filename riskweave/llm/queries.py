@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import remainder, table
 from riskweave.llm.exact_dedup import content_sort_dedup
 from riskweave.llm.hmm_lm import hmm_scores, with_held_out
+from riskweave.llm.maxscore import top_k
+from riskweave.llm.merge_dropout import decode, encode
 from riskweave.llm.packing import best_two_fit
 from riskweave.llm.quality import fit_quality, quality_scores
 from riskweave.llm.simhash import simhash_components
@@ -47,6 +51,43 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(toxicity_scores(docs, model, at=0.5))
 
 
+def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, texts = batch.column("ids"), [batch.column(c).cast(pa.binary()) for c in ("text", "decoded")]
+        arrays = [v.values.to_numpy().astype("<u4") for v in ids]
+        yield pa.record_batch(
+            {
+                "doc_id": batch.column("doc_id"),
+                "n_ids": pa.array([len(a) for a in arrays], pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(a.tobytes()) for a in arrays], pa.int64()),
+                "decoded_crc32": pa.array([zlib.crc32(v.as_py()) for v in texts[1]], pa.int64()),
+                "lossless": pa.array([a.as_py() == b.as_py() for a, b in zip(*texts, strict=True)], pa.bool_()),
+            }
+        )
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("piece_bpe_32k.model")
+    pieces = decode(encode(table(spark, sf_dir, "documents"), path, rate=0.1, seed=17), path)
+    return pieces.mapInArrow(_digests, "doc_id long, n_ids long, ids_crc32 long, decoded_crc32 long, lossless boolean")
+
+
 def op5_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_scores(with_held_out(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2))
 
@@ -70,7 +111,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
+    "op4_maxscore": op4_maxscore,
     "op5_hmm_lm": op5_hmm_lm,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
@@ -78,4 +121,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
+    "op4_maxscore": OP4_SQL,
 }
