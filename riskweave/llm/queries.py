@@ -17,6 +17,7 @@ from riskweave.llm.merge_dropout import decode, encode
 from riskweave.llm.packing import best_two_fit
 from riskweave.llm.quality import fit_quality, quality_scores
 from riskweave.llm.simhash import simhash_components
+from riskweave.llm.suffix_dedup import remove_repeats
 from riskweave.llm.toxicity import fit_toxicity, toxicity_scores
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -103,6 +104,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_two_fit(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), size=4096, end_id=1)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=100)
+    return found.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), words=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -116,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
 
