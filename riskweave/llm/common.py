@@ -58,3 +58,14 @@ def batches_by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int)
         begins = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(marks) else []
         for start, end in zip(begins, [*begins[1:], len(marks)], strict=True):
             yield batch.slice(start, end - start)
+
+
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[F.Column, F.Column]:
+    """Columns doc and tie that tell rows apart: the id, null as the smallest, and a hash of the text.
+
+    Where no id repeats, the second is 0.
+    """
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID)))
+    repeated = bool(docs.select(doc.alias("doc")).groupBy("doc").count().filter("count > 1").head(1))
+    tie = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) if repeated else F.lit(0).cast("long")
+    return doc.alias("doc"), tie.alias("tie")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import remainder, table
 from riskweave.llm.exact_dedup import content_sort_dedup
 from riskweave.llm.hmm_lm import hmm_scores, with_held_out
+from riskweave.llm.line_dedup import near_lines
 from riskweave.llm.maxscore import top_k
 from riskweave.llm.merge_dropout import decode, encode
 from riskweave.llm.packing import best_two_fit
@@ -23,6 +24,10 @@ from riskweave.llm.toxicity import fit_toxicity, toxicity_scores
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_lines(table(spark, sf_dir, "documents"), similarity=0.8).drop("tie")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = content_sort_dedup(table(spark, sf_dir, "documents"), keep="largest")
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -115,6 +120,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
     "op4_maxscore": op4_maxscore,
