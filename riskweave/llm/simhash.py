@@ -16,10 +16,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import narrow, raw_texts, stored
+from riskweave.llm.common import narrow, raw_texts, row_key, stored
 from riskweave.llm.components import components
 
 SEED = 42
@@ -59,7 +59,8 @@ def _fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(text, words) for text in raw_texts(batch.column("text"))], np.uint64)
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(prints.view(np.int64))})
+            keys = [n for n in batch.schema.names if n != "text"]
+            yield pa.record_batch([*(batch.column(n) for n in keys), pa.array(prints.view(np.int64))], names=[*keys, "fp"])
 
     return run
 
@@ -102,6 +103,12 @@ def near_links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return together.mapInArrow(_collisions(radius), "a long, b long").distinct()
 
 
+def _fp_components(prints: DataFrame, radius: int) -> DataFrame:
+    """Distinct fingerprints (fp) -> (fp, component): those without a link are components of their own."""
+    linked = components(near_links(prints, radius)).withColumnRenamed("node", "fp")
+    return prints.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id (smallest reachable doc_id).
 
@@ -112,9 +119,25 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     marked = stored(narrow(docs, id_col, text_col).mapInArrow(_fingerprints(words), "doc_id long, fp long"), "fingerprints")
     prints = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    linked = components(near_links(prints.select("fp"), radius)).withColumnRenamed("node", "fp")
-    # Fingerprints without a link are components of their own.
-    rooted = prints.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    rooted = _fp_components(prints.select("fp"), radius).join(prints, "fp")
     least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "component").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of `docs`, with all columns, that come first in their component: smallest id, null before all.
+
+    Of rows that repeat an id the one whose text hashes least comes first; of rows that repeat
+    both one is kept.
+    """
+    keys = row_key(docs, id_col, text_col)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    marked = stored(docs.select(*keys, text).mapInArrow(_fingerprints(words), "doc long, tie long, fp long"), "fingerprints")
+    firsts = stored(marked.groupBy("fp").agg(F.min(F.struct("doc", "tie")).alias("least")), "prints")
+    rooted = _fp_components(firsts.select("fp"), radius).join(firsts, "fp")
+    stay = rooted.groupBy("component").agg(F.min("least").alias("first")).select("first.doc", "first.tie")
+    wrapped = docs.select(F.struct("*").alias("row"), *keys)
+    again = F.row_number().over(Window.partitionBy("doc", "tie").orderBy("doc"))
+    kept = wrapped.join(stay, ["doc", "tie"], "left_semi")
+    return kept.withColumn("again", again).filter("again = 1").select("row.*")

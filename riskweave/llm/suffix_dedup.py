@@ -306,3 +306,18 @@ def remove_repeats(docs: DataFrame, threshold: int = 100, id_col: str = "doc_id"
     runs = early.union(late).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
     whole = bodies.join(runs, ["doc", "tie"], "left").select("copy", "rest", "body", "runs")
     return whole.mapInArrow(_cut(threshold), f"rest {plain.schema['rest'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def _readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rest, kept) -> rest with the kept bytes as text; parts of a character that was cut go."""
+    for batch in batches:
+        texts = pa.array([k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()], pa.string())
+        yield pa.record_batch([batch.column("rest"), texts], names=["rest", "text"])
+
+
+def drop_repeats(docs: DataFrame, threshold: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with all its columns and the text without what `remove_repeats` removes; null becomes empty."""
+    found = remove_repeats(docs, threshold, id_col, text_col).select("rest", "kept")
+    kind = found.schema["rest"].dataType.simpleString()
+    texts = found.mapInArrow(_readable, f"rest {kind}, text string")
+    return texts.select(*[(F.col("text") if c == text_col else F.col("rest")[c]).alias(c) for c in docs.columns])
