@@ -21,6 +21,8 @@ from riskweave.llm.word_features import BUCKETS, Featuriser, WordScores, labelle
 #: Most labelled rows that training reads.
 SAMPLE = 5_000
 DIMENSIONS, EPOCHS, RATE = 8, 6, 0.4
+#: Steps that training takes at least: small samples are read more often.
+STEPS = 12_000
 #: Stands in for the second of two equal neighbouring words: the word bigram of a repetition.
 AGAIN = b"\x00again"
 
@@ -57,8 +59,9 @@ def train(sample: list[tuple[bytes, int]], seed: int = 11) -> QualityModel:
     output, bias = np.zeros((2, DIMENSIONS)), np.zeros(2)
     build = Featuriser()
     inputs = [(*build.text(tokens(text)), label) for text, label in sample]
-    steps, done = EPOCHS * max(len(inputs), 1), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, STEPS // max(len(inputs), 1))
+    steps, done = epochs * max(len(inputs), 1), 0
+    for _ in range(epochs if inputs else 0):
         for at in rng.permutation(len(inputs)):
             ids, weights, label = inputs[at]
             rate = RATE * (1 - done / steps)

@@ -26,6 +26,8 @@ from riskweave.llm.word_features import BUCKETS, Featuriser, WordScores, labelle
 #: Most labelled rows that training reads.
 SAMPLE = 6_000
 EPOCHS, RATE, PULL = 4, 0.3, 2.0
+#: Steps that training takes at least: small samples are read more often.
+STEPS = 12_000
 #: Log weight of a word that training never met, and how much an average of buckets moves it.
 REST, SCALE = -6.0, 8.0
 #: Bounds of a log weight.
@@ -105,8 +107,9 @@ def train(sample: list[tuple[bytes, int]], seed: int = 5, pull: float = PULL) ->
         seen[ids] += slopes * slopes
         table[ids] -= rate * slopes / np.sqrt(seen[ids])
 
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, STEPS // max(len(inputs), 1))
+    for epoch in range(epochs if inputs else 0):
+        rate = RATE * (1 - epoch / epochs)
         for at in rng.permutation(len(inputs)):
             (counts, label), buckets = inputs[at], lists[at]
             total, slopes = 0.0, np.zeros(0)
