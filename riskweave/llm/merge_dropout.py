@@ -26,9 +26,9 @@ from riskweave.llm.common import batches_by_bytes, id_array
 #: The mark that pieces carry for a space.
 SPACE = "▁"
 #: Segmentations of a word that different occurrences choose from.
-STREAMS = 8
+STREAMS = 4
 #: (stream, word) pairs a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 _UNITS = re.compile(" *[^ ]+| +").findall
 
 
@@ -58,52 +58,57 @@ class Pieces:
         # Pieces of one score keep one rank: then the place decides, as in the model.
         order = {s: r for r, s in enumerate(sorted({s for s, _ in ranked}))}
         self.rank = {names[i]: order[s] for s, i in ranked}
+        #: Characters that stand side by side in some piece; no merge crosses any other border.
+        self.pairs = {name[i : i + 2] for name in self.ids for i in range(len(name) - 1)}
 
 
-def segment(unit: str, pieces: Pieces, rate: float, key: bytes) -> list[int]:
-    """Ids of a unit of text without inner word starts.
+_PLACE = (1 << 24) - 1
 
-    `key` names seed and stream.  A skipped candidate comes back only as a new pair, after
-    a merge beside it.
+
+def segment(unit: str, pieces: Pieces, rate: float, key: int) -> list[int]:
+    """Ids of a part of a word; `key` names seed and stream.
+
+    An agenda entry packs rank, start and length of a candidate; one whose symbols were
+    merged otherwise meanwhile no longer adds up to its length.  A skipped candidate comes
+    back only as a new pair, after a merge beside it.
     """
-    symbols: list[str | None] = list(unit)
-    size = len(symbols)
-    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    rank = pieces.rank
+    end = len(unit)
+    rank, size, before = pieces.rank, [1] * end, list(range(-1, end - 1))
     agenda = []
-    for i in range(size - 1):
-        both = unit[i : i + 2]
-        if both in rank:
-            agenda.append((rank[both], i, both))
-    heapq.heapify(agenda)
-    name = key + unit.encode()
+    for i in range(end - 1):
+        if (r := rank.get(unit[i : i + 2])) is not None:
+            agenda.append(r << 48 | i << 24 | 2)
     limit = int(rate * 2.0**64)
+    name = xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), key) if limit and agenda else 0
+    heapq.heapify(agenda)
     while agenda:
-        _, i, both = heapq.heappop(agenda)
-        left = symbols[i]
-        if left is None or (j := after[i]) >= size or len(left) + len(symbols[j]) != len(both) or left + symbols[j] != both:
-            continue
-        if limit and xxhash.xxh64_intdigest(name + b"\0%d %d" % (i, len(both)), 0) < limit:
+        top = heapq.heappop(agenda)
+        length, i = top & _PLACE, top >> 24 & _PLACE
+        left = size[i]
+        j = i + left
+        if not left or j >= end or left + size[j] != length:
             continue
-        symbols[i], symbols[j] = both, None
-        after[i] = k = after[j]
-        if k < size:
+        if limit:
+            drawn = (name ^ top) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+            if (drawn ^ drawn >> 32) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF < limit:
+                continue
+        size[i], size[j] = length, 0
+        k, h = i + length, before[i]
+        if k < end:
             before[k] = i
-            more = both + symbols[k]
-            if more in rank:
-                heapq.heappush(agenda, (rank[more], i, more))
-        h = before[i]
-        if h >= 0:
-            more = symbols[h] + both
-            if more in rank:
-                heapq.heappush(agenda, (rank[more], h, more))
+            if (r := rank.get(unit[i : k + size[k]])) is not None:
+                heapq.heappush(agenda, r << 48 | i << 24 | length + size[k])
+        if h >= 0 and (r := rank.get(unit[h:k])) is not None:
+            heapq.heappush(agenda, r << 48 | h << 24 | k - h)
     out: list[int] = []
-    for s in symbols:
-        if s is not None:
-            if (known := pieces.ids.get(s)) is not None:
-                out.append(known)
-            else:
-                out.extend(pieces.bytes[b] for b in s.encode())
+    i = 0
+    while i < end:
+        symbol = unit[i : i + size[i]]
+        if (known := pieces.ids.get(symbol)) is not None:
+            out.append(known)
+        else:
+            out.extend(pieces.bytes[b] for b in symbol.encode())
+        i += size[i]
     return out
 
 
@@ -133,19 +138,30 @@ class DropoutEncoder:
 
         self.flat, self.begin, self.size = array("i"), array("q"), array("i")
         self.streams = [_Stream(i, self) for i in range(STREAMS if self.rate else 1)]
+        self.parts: list[dict[str, list[int]]] = [{} for _ in self.streams]
 
     def unit_ids(self, word: str, stream: int) -> list[int]:
         """A word stands for one space and itself; a mark of the model's own that occurs in a text is kept as bytes."""
-        key = b"%d %d " % (self.seed, stream)
-        unit = SPACE + word
         if SPACE not in word:
-            return segment(unit.replace(" ", SPACE), self.pieces, self.rate, key)
+            return self._cut((SPACE + word).replace(" ", SPACE), stream)
         mark = [self.pieces.bytes[b] for b in SPACE.encode()]
-        parts = (" " + word).split(SPACE)
         out: list[int] = []
-        for i, part in enumerate(parts):
+        for i, part in enumerate((" " + word).split(SPACE)):
             out += mark if i else []
-            out += segment(part.replace(" ", SPACE), self.pieces, self.rate, key) if part else []
+            out += self._cut(part.replace(" ", SPACE), stream) if part else []
+        return out
+
+    def _cut(self, unit: str, stream: int) -> list[int]:
+        """Ids of a unit, segmented between the borders that no piece crosses."""
+        pairs, known, key = self.pieces.pairs, self.parts[stream], self.seed * 1000 + stream
+        out: list[int] = []
+        begin = 0
+        for end in [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in pairs] + [len(unit)]:
+            part = unit[begin:end]
+            if (ids := known.get(part)) is None:
+                ids = known[part] = segment(part, self.pieces, self.rate, key)
+            out += ids
+            begin = end
         return out
 
     def __call__(self, text: str, document: int) -> np.ndarray:
