@@ -9,10 +9,12 @@ remember each (stream, word) once.  Rate zero gives the model's own segmentation
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 from functools import cache
+from heapq import heapify
+from heapq import heappop as pop
+from heapq import heappush as push
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +59,7 @@ class Pieces:
                 self.text.append(name.replace(SPACE, " ").encode())
         # Pieces of one score keep one rank: then the place decides, as in the model.
         order = {s: r for r, s in enumerate(sorted({s for s, _ in ranked}))}
-        self.rank = {names[i]: order[s] for s, i in ranked}
+        self.rank = {names[i]: order[s] << 48 for s, i in ranked}
         #: Characters that stand side by side in some piece; no merge crosses any other border.
         self.pairs = {name[i : i + 2] for name in self.ids for i in range(len(name) - 1)}
 
@@ -77,29 +79,27 @@ def segment(unit: str, pieces: Pieces, rate: float, key: int) -> list[int]:
     agenda = []
     for i in range(end - 1):
         if (r := rank.get(unit[i : i + 2])) is not None:
-            agenda.append(r << 48 | i << 24 | 2)
-    limit = int(rate * 2.0**64)
+            agenda.append(r | i << 24 | 2)
+    limit = int(rate * 2.0**24)
     name = xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), key) if limit and agenda else 0
-    heapq.heapify(agenda)
+    heapify(agenda)
     while agenda:
-        top = heapq.heappop(agenda)
+        top = pop(agenda)
         length, i = top & _PLACE, top >> 24 & _PLACE
         left = size[i]
         j = i + left
         if not left or j >= end or left + size[j] != length:
             continue
-        if limit:
-            drawn = (name ^ top) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
-            if (drawn ^ drawn >> 32) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF < limit:
-                continue
+        if limit and (name ^ top) * 0x9E3779B97F4A7C15 >> 40 & 0xFFFFFF < limit:
+            continue
         size[i], size[j] = length, 0
         k, h = i + length, before[i]
         if k < end:
             before[k] = i
             if (r := rank.get(unit[i : k + size[k]])) is not None:
-                heapq.heappush(agenda, r << 48 | i << 24 | length + size[k])
+                push(agenda, r | i << 24 | length + size[k])
         if h >= 0 and (r := rank.get(unit[h:k])) is not None:
-            heapq.heappush(agenda, r << 48 | h << 24 | k - h)
+            push(agenda, r | h << 24 | k - h)
     out: list[int] = []
     i = 0
     while i < end:
