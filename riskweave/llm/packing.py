@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.common import batches_by_bytes, narrow, stored
 
-#: Words a worker remembers before it starts anew; bounds its memory, not what it encodes.
-REMEMBERED = 1_200_000
+#: Words, and pre-tokens, that a worker remembers before it starts anew; bounds its memory, not what it encodes.
+WORDS, PRETOKENS = 400_000, 900_000
 
 
 class WordEncoder:
@@ -45,16 +46,19 @@ class WordEncoder:
         numbers = "".join(re.escape(c) for c, k in kinds.items() if k == "N")
         self.pretokens = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
         self.plain = re.compile("[\x00-\x1b\x20-\x84\x86-˿]*").fullmatch
+        self.parts: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.rows, self.parts = _Numbered(), {}
+        self.rows = _Numbered()
         self.flat, self.begin, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.filled = self.known = 0
 
     def _learn(self) -> None:
         """Encodes the words that turned up since the last call."""
         words, self.rows.fresh = self.rows.fresh, []
+        if len(self.parts) > PRETOKENS:
+            self.parts.clear()
         split, alone = [], []
         for word in words:
             simple = self.plain(word) and "<|" not in word
@@ -65,21 +69,22 @@ class WordEncoder:
         for piece, got in zip(unseen, self._encode(unseen), strict=True):
             self.parts[piece] = got
         whole = iter(self._encode(alone))
-        ids = [next(whole) if s is None else [i for p in s for i in self.parts[p]] for s in split]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        ids = [next(whole) if s is None else b"".join([self.parts[p] for p in s]) for s in split]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         end, new = self.known + len(ids), int(sizes.sum())
         self.flat = _room(self.flat, self.filled + new)
         self.begin, self.size = _room(self.begin, end), _room(self.size, end)
-        self.flat[self.filled : self.filled + new] = np.fromiter((i for x in ids for i in x), np.uint32, new)
+        self.flat[self.filled : self.filled + new] = np.frombuffer(b"".join(ids), np.uint32)
         self.size[self.known : end] = sizes
         self.begin[self.known : end] = self.filled + np.cumsum(sizes) - sizes
         self.filled, self.known = self.filled + new, end
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as packed unsigned integers."""
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.rows) > REMEMBERED:
+        if len(self.rows) > WORDS:
             self._forget()
         rows = []
         for text in texts:
