@@ -39,7 +39,7 @@ TRAINING_DEFAULT_STATUSES = (
     "Late (31-120 days)",
 )
 HIGH_RISK_SCORE = 600
-SURROGATE_OFFSETS = {"churn": 1, "lending": 1_000_000, "fraud": 2_000_000}
+SURROGATE_SOURCES = ("churn", "lending", "fraud")
 
 
 def column_or_null(df: DataFrame, name: str, type_: str = "string") -> Column:
@@ -59,6 +59,12 @@ def dedup_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rn", F.row_number().over(ranked)).where("_rn = 1").drop("_rn")
 
 
+def first_identity(identity: DataFrame, order: Sequence[str | Column] | None = None) -> DataFrame:
+    """One identity row per transaction: the first in ``order``, by default in
+    ascending order of its other columns, so that repeats give the same row always."""
+    return dedup_keys(identity, ["TransactionID"], order or [c for c in identity.columns if c != "TransactionID"] or ["TransactionID"])
+
+
 def replace_blanks(df: DataFrame, defaults: Mapping[str, str]) -> DataFrame:
     """Empty text or null becomes the column's default."""
     return df.withColumns({c: C.blank_to(c, d) for c, d in defaults.items()})
@@ -77,8 +83,9 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def assign_surrogate_id(df: DataFrame, source: str, name: str = "customer_id") -> DataFrame:
-    """Unique, not dense, row id starting at the source's offset; no shuffle."""
-    return df.withColumn(name, F.monotonically_increasing_id() + F.lit(SURROGATE_OFFSETS[source]))
+    """Unique, not dense, row id; no shuffle.  Sources take turns among the
+    numbers, so ids of two sources never meet however many rows there are."""
+    return df.withColumn(name, F.monotonically_increasing_id() * len(SURROGATE_SOURCES) + SURROGATE_SOURCES.index(source))
 
 
 def add_lineage(df: DataFrame, source: str, load_date: str) -> DataFrame:
@@ -144,7 +151,7 @@ def clean_transactions(raw: DataFrame, identity: DataFrame | None = None, log_de
     """Transaction fact: identity attached, numbers coerced, log amount, time."""
     joined = raw
     if identity is not None:
-        joined = raw.join(identity.dropDuplicates(["TransactionID"]), "TransactionID", "left")
+        joined = raw.join(first_identity(identity), "TransactionID", "left")
     joined = dedup_keys(joined, ["TransactionID"], ["TransactionDT", "TransactionAmt"])
     amount = C.to_number("TransactionAmt", "decimal(12,2)", 0)
 

@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cleaning import dedup_keys
+from .ordered import running_totals
 
 
 def attach_identity(rows: DataFrame, identity: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
@@ -40,10 +41,12 @@ def customer_360(customers: DataFrame, sides: Sequence[DataFrame], key: str, zer
 
 
 def dense_rank_category(df: DataFrame, column: str) -> DataFrame:
-    """Distinct category values with their ascending dense rank (duplicates are
-    removed before the window, which sees one row per category)."""
+    """Distinct category values with their ascending dense rank, found by ranges
+    of equal first characters: no task sees all values."""
     values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return values.withColumn("rank", F.dense_rank().over(Window.orderBy(column)))
+    starts = [F.substring(F.col(column).cast("string"), 1, n) for n in (1, 3, 8)]
+    ranked = running_totals(values, {"rank": F.lit(1).cast("bigint")}, starts, [F.col(column)])
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
 def lookup_by_rank(

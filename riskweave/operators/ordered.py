@@ -19,6 +19,16 @@ from ..functions.cleaning import as_col
 FANOUT = 2**14
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join in which null keys match; columns of ``left`` then the others of ``right``."""
+    renamed = right.withColumnsRenamed({k: f"_rk_{k}" for k in keys})
+    condition = None
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"_rk_{k}"))
+        condition = same if condition is None else condition & same
+    return left.join(renamed, condition).drop(*[f"_rk_{k}" for k in keys])
+
+
 def unit_levels(u: Column, depth: int = 2, descending: bool = False) -> list[Column]:
     """Nested ranges of a number in [0, 1]: 2^14 ranges, each cut into 2^14 again.
 
@@ -45,7 +55,7 @@ def running_totals(
     """Add cumulative sums (current row included) in ``levels, order`` order.
 
     ``levels`` must be consistent with ``order``: sorting by them first changes
-    nothing.  ``by`` columns (not null) start separate running totals.
+    nothing.  ``by`` columns start separate running totals; nulls are a group.
     ``grand=True`` adds the final value of each total as ``<name>_all``.
     """
     by = list(by)
@@ -78,13 +88,13 @@ def running_totals(
         )
         if offsets is not None:
             parent = offsets.withColumnsRenamed({f"_o_{n}": f"_p_{n}" for n in names})
-            level = level.join(parent, [*by, *scope[:-1]]).select(
+            level = join_null_safe(level, parent, [*by, *scope[:-1]]).select(
                 *by, *scope, *[(F.col(f"_o_{n}") + F.col(f"_p_{n}")).alias(f"_o_{n}") for n in names], *whole
             )
         offsets = level
 
     within = Window.partitionBy(*by, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.join(offsets, [*by, *keys]).select(
+    return join_null_safe(rows, offsets, [*by, *keys]).select(
         *df.columns,
         *[(F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(within)).alias(n) for n in names],
         *([F.col(f"_g_{n}").alias(f"{n}_all") for n in names] if grand else []),
@@ -143,7 +153,7 @@ def hashed_rank(
 
 
 def time_rank(df: DataFrame, ts: str, id_: str, name: str = "rank", grand: bool = False) -> DataFrame:
-    """1-based rank by time; equal times are put in hash order of the id.
+    """1-based rank by time, null times last; equal times are put in hash order of the id.
 
     Days, then seconds, then exact times cut by hash ranges: a timestamp shared
     by very many rows is split over tasks as well.
@@ -152,7 +162,7 @@ def time_rank(df: DataFrame, ts: str, id_: str, name: str = "rank", grand: bool
     out = running_totals(
         out,
         {name: F.lit(1).cast("bigint")},
-        [*_calendar_levels(df, ts), F.struct(F.col(ts).alias("t"), F.substring("_digest", 1, 2).alias("d"))],
+        [F.col(ts).isNull(), *_calendar_levels(df, ts), F.struct(F.col(ts).alias("t"), F.substring("_digest", 1, 2).alias("d"))],
         [F.col("_digest"), F.col(id_)],
         grand=grand,
     )

@@ -26,15 +26,17 @@ from . import evaluation as E
 from .ordered import exact_quantiles, hashed_rank
 from .preparation import FeatureSpec, class_counts, class_weights, column_modes, fold_count, kfold_stratified, resample_smote, resample_under, split_for_training
 
-# Search spaces, sizes and limits of training.
+# Search spaces: forest depths end at 30, the deepest that Spark fits; ``C`` is the inverse
+# regularisation, turned into ``regParam`` with the number of training rows.
 GRIDS = {
-    "logistic_regression": {"regParam": [0.1, 0.01, 0.001], "weighted": [True, False]},
-    "random_forest": {"numTrees": [100, 200, 400], "maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 2, 5]},
+    "logistic_regression": {"C": [0.1, 1.0, 10.0], "weighted": [True, False]},
+    "random_forest": {"numTrees": [100, 200, 400], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 5]},
     "gradient_boosting": {
         "maxIter": [20, 50, 100], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1, 0.2], "subsamplingRate": [0.6, 0.8, 1.0],
         "minInstancesPerNode": [1, 3, 7],
     },
 }
+# Sizes and limits of training.
 SEARCH_DRAWS, SEARCH_FOLDS, FOLDS = 6, 3, 5
 MIN_VALIDATION, MIN_VALIDATION_CLASS = 200, 20
 ISOTONIC_ROWS, ISOTONIC_POSITIVES = 500, 30
@@ -42,15 +44,15 @@ LOGIT_CLIP = 1e-6
 SEED = 42
 
 
-def candidates(task: str, small: bool = False) -> dict[str, Estimator]:
-    """Estimators tried for a task.  ``small`` shrinks the ensembles (tests)."""
+def candidates(task: str) -> dict[str, Estimator]:
+    """Estimators tried for a task."""
     common = {"featuresCol": "features", "labelCol": "label"}
     trees = {"churn": 180, "default": 220, "fraud": 200}[task]
     out: dict[str, Estimator] = {}
     if task == "churn":
         out["logistic_regression"] = LogisticRegression(maxIter=100, weightCol="weight", **common)
-    out["random_forest"] = RandomForestClassifier(numTrees=10 if small else trees, maxDepth=5 if small else 10, weightCol="weight", seed=SEED, **common)
-    out["gradient_boosting"] = GBTClassifier(maxIter=5 if small else 50, maxDepth=3 if small else 5, weightCol="weight", seed=SEED, **common)
+    out["random_forest"] = RandomForestClassifier(numTrees=trees, maxDepth=10, weightCol="weight", seed=SEED, **common)
+    out["gradient_boosting"] = GBTClassifier(maxIter=50, maxDepth=5, weightCol="weight", seed=SEED, **common)
     return out
 
 
@@ -155,59 +157,70 @@ def scored(model: PipelineModel | ForestModel, df: DataFrame, id_: str, y: str)
     return model.transform(df).select(id_, y, vector_to_array("probability")[1].alias("score"))
 
 
-class EncodedFolds:
-    """Each fold encoded once, for all candidates and settings tried on it."""
+def cross_validate(
+    folded: DataFrame, spec: FeatureSpec, id_: str, k: int, estimators: Mapping[str, Estimator], resample: bool = False
+) -> dict[str, tuple[float, float]]:
+    """Out-of-fold ROC-AUC and seconds of each estimator.
 
-    def __init__(self, folded: DataFrame, spec: FeatureSpec, id_: str, k: int, resample: bool = False):
-        self.spec, self.id_ = spec, id_
-        self.folds: list[tuple[DataFrame, DataFrame]] = []
-        self.source = folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    Folds are encoded one at a time, all estimators are fitted on a fold while it is
+    cached, and only their narrow scores are kept for the end.
+    """
+    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    kept: dict[str, list[DataFrame]] = {name: [] for name in estimators}
+    seconds = dict.fromkeys(estimators, 0.0)
+    try:
         for fold in range(k):
             prep, train = encode(folded.where(F.col("fold") != fold), spec, id_, resample)
-            test = prep.transform(folded.where(F.col("fold") == fold)).select(id_, spec.target, "features")
-            self.folds.append((train.persist(StorageLevel.MEMORY_AND_DISK), test.persist(StorageLevel.MEMORY_AND_DISK)))
-
-    def __enter__(self) -> EncodedFolds:
-        return self
-
-    def __exit__(self, *_) -> None:
-        for pair in self.folds:
-            for part in pair:
-                part.unpersist()
-        self.source.unpersist()
-
-    def out_of_fold(self, estimator: Estimator) -> DataFrame:
-        """Scores of every row from the model that has not seen it."""
-        parts = None
-        for train, test in self.folds:
-            part = scored(estimator.fit(train), test, self.id_, self.spec.target)
-            parts = part if parts is None else parts.unionByName(part)
-        return parts
-
-    def auc(self, estimator: Estimator) -> float:
-        return _auc(self.out_of_fold(estimator), self.spec.target)
+            train = train.persist(StorageLevel.MEMORY_AND_DISK)
+            test = prep.transform(folded.where(F.col("fold") == fold)).select(id_, spec.target, "features").persist(StorageLevel.MEMORY_AND_DISK)
+            for name, estimator in estimators.items():
+                started = time.time()
+                part = scored(estimator.fit(train), test, id_, spec.target).persist(StorageLevel.MEMORY_AND_DISK)
+                part.count()  # taken while the fold is cached
+                kept[name].append(part)
+                seconds[name] += time.time() - started
+            train.unpersist()
+            test.unpersist()
+        out = {}
+        for name, parts in kept.items():
+            every = parts[0]
+            for part in parts[1:]:
+                every = every.unionByName(part)
+            out[name] = (_auc(every, spec.target), seconds[name])
+        return out
+    finally:
+        for part in (p for parts in kept.values() for p in parts):
+            part.unpersist()
+        folded.unpersist()
 
 
 def _auc(df: DataFrame, y: str) -> float:
     return E.roc_auc(df, y, "score").first()[0] or 0.0
 
 
+def with_setting(estimator: Estimator, setting: Mapping[str, object], rows: int) -> Estimator:
+    """A copy of an estimator with one draw of a search space."""
+    plain = {p: v for p, v in setting.items() if p not in ("weighted", "C")}
+    if "C" in setting:
+        plain["regParam"] = 1.0 / (setting["C"] * max(rows, 1))
+    trial = estimator.copy({estimator.getParam(p): v for p, v in plain.items()})
+    if setting.get("weighted") is False:
+        trial.clear(trial.weightCol)
+    return trial
+
+
 def tune_winner(
-    folds: EncodedFolds, name: str, estimator: Estimator, draws: int = SEARCH_DRAWS, grid: Mapping[str, Sequence] | None = None
+    folded: DataFrame, spec: FeatureSpec, id_: str, k: int, name: str, estimator: Estimator, draws: int = SEARCH_DRAWS,
+    grid: Mapping[str, Sequence] | None = None, resample: bool = False,
 ) -> tuple[Estimator, float]:
     """Best of a seeded random draw of settings by cross-validated ROC-AUC."""
     space = grid or GRIDS[name]
     every = [dict(zip(space, values)) for values in itertools.product(*space.values())]
-    best: tuple[Estimator, float] = (estimator, -1.0)
-    for setting in random.Random(SEED).sample(every, min(draws, len(every))):
-        plain = {p: v for p, v in setting.items() if p != "weighted"}
-        trial = estimator.copy({estimator.getParam(p): v for p, v in plain.items()})
-        if setting.get("weighted") is False:
-            trial.clear(trial.weightCol)
-        auc = folds.auc(trial)
-        if auc > best[1]:
-            best = (trial, auc)
-    return best
+    rows = folded.count() * (k - 1) // k
+    trials = {str(i): with_setting(estimator, s, rows) for i, s in enumerate(random.Random(SEED).sample(every, min(draws, len(every))))}
+    found = cross_validate(folded, spec, id_, k, trials, resample)
+    best = max(trials, key=lambda n: (found[n][0], -int(n)))
+    return trials[best], found[best][0]
 
 
 # ---------------------------------------------------------------- calibration
@@ -314,9 +327,9 @@ def _threshold(task: str, df: DataFrame, y: str) -> float:
 
 
 def train_candidates(
-    df: DataFrame, spec: FeatureSpec, id_: str, ts: str | None = None, folds: int = FOLDS, small: bool = False,
-    tune: bool = True, draws: int = SEARCH_DRAWS, resample: bool | None = None, grid: Mapping[str, Sequence] | None = None,
-    models: Callable[[str, bool], dict[str, Estimator]] = candidates,
+    df: DataFrame, spec: FeatureSpec, id_: str, ts: str | None = None, folds: int = FOLDS,
+    tune: bool = True, draws: int = SEARCH_DRAWS, resample: bool | None = None, grids: Mapping[str, Mapping[str, Sequence]] = GRIDS,
+    models: Callable[[str], dict[str, Estimator]] = candidates, forest_trees: int = AN.TREES,
 ) -> TrainingResult:
     """Split, compare candidates out of fold, tune the best, calibrate, pick a
     threshold on the validation part and measure on the test part."""
@@ -324,12 +337,12 @@ def train_candidates(
     resample = spec.task in ("default", "fraud") if resample is None else resample
     parts = split_for_training(df, y, id_, ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _train(parts, spec, y, id_, folds, small, tune, draws, resample, grid, models)
+        return _train(parts, spec, y, id_, folds, tune, draws, resample, grids, models, forest_trees)
     finally:
         parts.unpersist()
 
 
-def _train(parts, spec, y, id_, folds, small, tune, draws, resample, grid, models) -> TrainingResult:
+def _train(parts, spec, y, id_, folds, tune, draws, resample, grids, models, forest_trees) -> TrainingResult:
     train = parts.where(F.col("part") != "test")
     sizes = class_counts(train, y)
     fit_part, val = parts.where(F.col("part") == "fit"), parts.where(F.col("part") == "val")
@@ -342,16 +355,13 @@ def _train(parts, spec, y, id_, folds, small, tune, draws, resample, grid, model
         fit_part, val = train, parts.where(F.col("part") == "test")
     test = parts.where(F.col("part") == "test")
     k = fold_count(fit_part, y, folds)
-    board, tried = [], models(spec.task, small)
-    with EncodedFolds(kfold_stratified(fit_part, y, id_, k), spec, id_, k, resample) as encoded:
-        for name, estimator in tried.items():
-            started = time.time()
-            auc = encoded.auc(estimator)
-            board.append({"task": spec.task, "algorithm": name, "cv_roc_auc": round(auc, 4), "training_seconds": round(time.time() - started, 2)})
+    board, tried = [], models(spec.task)
+    for name, (auc, took) in cross_validate(kfold_stratified(fit_part, y, id_, k), spec, id_, k, tried, resample).items():
+        board.append({"task": spec.task, "algorithm": name, "cv_roc_auc": round(auc, 4), "training_seconds": round(took, 2)})
     forest = None
     if spec.task == "fraud":  # unsupervised, so it is measured on the test part without folds
         started = time.time()
-        forest = fit_forest(fit_part, spec, id_, 20 if small else AN.TREES)
+        forest = fit_forest(fit_part, spec, id_, forest_trees)
         auc = _auc(scored(forest, test, id_, y), y)
         board.append({"task": spec.task, "algorithm": "isolation_forest", "cv_roc_auc": None, "roc_auc": round(auc, 4),
                       "training_seconds": round(time.time() - started, 2)})
@@ -360,8 +370,8 @@ def _train(parts, spec, y, id_, folds, small, tune, draws, resample, grid, model
     winner, tuning = tried.get(best["algorithm"]), None
     if tune and not unsupervised:
         started, k_search = time.time(), min(SEARCH_FOLDS, k)
-        with EncodedFolds(kfold_stratified(fit_part, y, id_, k_search, seed=7), spec, id_, k_search, resample) as encoded:
-            winner, _ = tune_winner(encoded, best["algorithm"], winner, draws, grid)
+        again = kfold_stratified(fit_part, y, id_, k_search, seed=7)
+        winner, _ = tune_winner(again, spec, id_, k_search, best["algorithm"], winner, draws, grids[best["algorithm"]], resample)
         tuning = round(time.time() - started, 2)
     model = forest if unsupervised else fit_candidate(fit_part, spec, winner, id_, resample)
     raw_val, raw_test = scored(model, val, id_, y), scored(model, test, id_, y)

@@ -251,12 +251,15 @@ def align_to_schema(t):
 
 
 @query("assign_surrogate_id", "", """
- SELECT count(*) AS n, count(*) AS distinct_ids, true AS in_range FROM customer""")
+ SELECT count(*) AS n, count(*) AS distinct_ids FROM (SELECT c_custkey FROM customer UNION ALL SELECT o_orderkey FROM orders UNION ALL SELECT event_id FROM events)""")
 def assign_surrogate_id(t):
-    df = K.assign_surrogate_id(t.raw("customer"), "lending", "row_id")
-    return df.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("distinct_ids"), (F.min("row_id") >= 1_000_000).alias("in_range")
-    )
+    """Ids of three sources together: all different."""
+    keys = {"churn": ("customer", "c_custkey"), "lending": ("orders", "o_orderkey"), "fraud": ("events", "event_id")}
+    ids = None
+    for source, (name, key) in keys.items():
+        mine = K.assign_surrogate_id(t.raw(name).select(key), source, "row_id").select("row_id")
+        ids = mine if ids is None else ids.unionByName(mine)
+    return ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("distinct_ids"))
 
 
 @query("add_lineage", "loans", """
@@ -397,9 +400,9 @@ def raw_transactions(t):
 def raw_identity(t):
     k = F.col("event_id")
     rows = t.raw("events").where(k % 3 != 0).select(
-        k.alias("TransactionID"), F.col("event_type").alias("DeviceType"), F.concat(F.lit("v"), (k % 4).cast("string")).alias("DeviceInfo")
+        k.alias("TransactionID"), F.col("event_type").alias("DeviceType"), F.explode(F.array(F.lit("w"), F.lit("v"))).alias("letter")
     )
-    return rows.withColumn("copy_no", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy_no")
+    return rows.withColumn("DeviceInfo", F.concat("letter", (F.col("TransactionID") % 4).cast("string"))).drop("letter")
 
 
 @query("clean_transactions", "txns", """
@@ -473,11 +476,12 @@ def sample_rows(t):
     return job(t.raw("orders").select("o_orderkey"), "o_orderkey", 1000)
 
 
-@query("sample_rows_fraction")
+@query("sample_rows_fraction", "", """
+ SELECT * FROM orders WHERE CAST('0x'||substr(md5(CAST(o_orderkey AS VARCHAR)||'|42'),1,12) AS BIGINT)<1000*281474976710656//(SELECT count(*) FROM orders)""")
 def sample_rows_fraction(t):
     from ..operators.preparation import sample_fraction
 
-    return sample_fraction(t.raw("orders"), 1000)
+    return sample_fraction(t.raw("orders"), "o_orderkey", 1000)
 
 
 @query("row_count_reconcile", "", """

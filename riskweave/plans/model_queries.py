@@ -66,8 +66,8 @@ def normalize_fraud_frame(t):
         F.col("email_domain").alias("P_emaildomain"), F.col("is_fraud").alias("isFraud"),
     )
     ident = t.txns().where(k % 3 != 0).select(
-        k.alias("TransactionID"), F.concat(F.lit("d"), (k % 4).cast("string")).alias("DeviceType"), F.explode(F.array(F.lit(1), F.lit(2))).alias("copy_no")
-    ).drop("copy_no")
+        k.alias("TransactionID"), F.explode(F.array(F.lit("e"), F.lit("d"))).alias("letter")
+    ).withColumn("DeviceType", F.concat("letter", (F.col("TransactionID") % 4).cast("string"))).drop("letter")
     return P.normalize_fraud_frame(raw, ident, keep=["TransactionID"]).select(*FRAUD_SHOWN)
 
 
@@ -105,9 +105,19 @@ def impute_mode_onehot(t):
 
 @query("split_chronological", "loans", """
  SELECT loan_id, CASE WHEN r<=floor(greatest(2,floor(n*0.8))*0.8) THEN 'fit' WHEN r<=greatest(2,floor(n*0.8)) THEN 'val' ELSE 'test' END AS part
- FROM (SELECT loan_id, row_number() OVER (ORDER BY issue_date, md5(CAST(loan_id AS VARCHAR)||'|tie'), loan_id) AS r, count(*) OVER () AS n FROM loans)""")
+ FROM (SELECT loan_id, row_number() OVER (ORDER BY issue_date NULLS LAST, md5(CAST(loan_id AS VARCHAR)||'|tie'), loan_id) AS r, count(*) OVER () AS n FROM (SELECT loan_id, CASE WHEN loan_id%17<>0 THEN issue_date END AS issue_date FROM loans))""")
 def split_chronological(t):
-    return P.split_chronological(t.loans_core().select("loan_id", "issue_date"), "issue_date", "loan_id").select("loan_id", "part")
+    """Some loans have no date: they count as the latest."""
+    dated = t.loans_core().select("loan_id", F.when(F.col("loan_id") % 17 != 0, F.col("issue_date")).alias("issue_date"))
+    return P.split_chronological(dated, "issue_date", "loan_id").select("loan_id", "part")
+
+
+PARTLY = "(SELECT {id}, CASE WHEN {id}%19<>0 THEN {y} END AS {y} FROM {of})"
+
+
+def partly_labelled(df, id_: str, y: str):
+    """Some rows without a label."""
+    return df.select(id_, F.when(F.col(id_) % 19 != 0, F.col(y)).alias(y))
 
 
 HASHED = "row_number() OVER (PARTITION BY {y} ORDER BY md5(CAST({id} AS VARCHAR)||'|{seed}'), {id}) AS r, count(*) OVER (PARTITION BY {y}) AS n"
@@ -115,22 +125,22 @@ HASHED = "row_number() OVER (PARTITION BY {y} ORDER BY md5(CAST({id} AS VARCHAR)
 
 @query("split_stratified", "loans", f"""
  SELECT loan_id, default_flag, CASE WHEN r<=floor(floor(n*0.8)*0.8) THEN 'fit' WHEN r<=floor(n*0.8) THEN 'val' ELSE 'test' END AS part
- FROM (SELECT loan_id, default_flag, {HASHED.format(y='default_flag', id='loan_id', seed=42)} FROM loans)""")
+ FROM (SELECT loan_id, default_flag, {HASHED.format(y='default_flag', id='loan_id', seed=42)} FROM {PARTLY.format(id='loan_id', y='default_flag', of='loans')})""")
 def split_stratified(t):
-    return P.split_stratified(t.loans_core().select("loan_id", "default_flag"), "default_flag", "loan_id")
+    return P.split_stratified(partly_labelled(t.loans_core(), "loan_id", "default_flag"), "default_flag", "loan_id")
 
 
 @query("kfold_stratified", "loans", f"""
- SELECT loan_id, default_flag, CAST((r-1)%5 AS INTEGER) AS fold FROM (SELECT loan_id, default_flag, {HASHED.format(y='default_flag', id='loan_id', seed=42)} FROM loans)""")
+ SELECT loan_id, default_flag, CAST((r-1)%5 AS INTEGER) AS fold FROM (SELECT loan_id, default_flag, {HASHED.format(y='default_flag', id='loan_id', seed=42)} FROM {PARTLY.format(id='loan_id', y='default_flag', of='loans')})""")
 def kfold_stratified(t):
-    return P.kfold_stratified(t.loans_core().select("loan_id", "default_flag"), "default_flag", "loan_id")
+    return P.kfold_stratified(partly_labelled(t.loans_core(), "loan_id", "default_flag"), "default_flag", "loan_id")
 
 
 @query("resample_under", "txns", f"""
- SELECT transaction_id, is_fraud FROM (SELECT transaction_id, is_fraud, {HASHED.format(y='is_fraud', id='transaction_id', seed=42)} FROM txns)
- WHERE is_fraud=1 OR r<=(SELECT floor(sum(is_fraud)/0.5) FROM txns)""")
+ SELECT transaction_id, is_fraud FROM (SELECT transaction_id, is_fraud, {HASHED.format(y='is_fraud', id='transaction_id', seed=42)} FROM {PARTLY.format(id='transaction_id', y='is_fraud', of='txns')})
+ WHERE is_fraud=1 OR is_fraud IS NULL OR r<=(SELECT floor(sum(is_fraud)/0.5) FROM {PARTLY.format(id='transaction_id', y='is_fraud', of='txns')})""")
 def resample_under(t):
-    return P.resample_under(t.txns().select("transaction_id", "is_fraud"), "is_fraud", "transaction_id")
+    return P.resample_under(partly_labelled(t.txns(), "transaction_id", "is_fraud"), "is_fraud", "transaction_id")
 
 
 @query("class_weights", "txns", """
@@ -140,71 +150,132 @@ def class_weights(t):
     return P.class_weights(t.txns().select("transaction_id", "is_fraud"), "is_fraud").drop("is_fraud")
 
 
-@query("resample_smote")
+def _facts(df, **checks):
+    """One row of counts and checks."""
+    return df.agg(F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in checks.items()])
+
+
+@query("resample_smote", "txns", """WITH c AS (SELECT count(*) FILTER (WHERE is_fraud=0) AS n0, count(*) FILTER (WHERE is_fraud=1) AS n1 FROM txns)
+ SELECT 0 AS is_fraud, false AS synthetic, n0 AS n, true AS inside FROM c UNION ALL SELECT 1, false, n1, true FROM c
+ UNION ALL SELECT 1, true, CAST(floor(n0*0.25) AS BIGINT)-n1, true FROM c WHERE floor(n0*0.25)>n1""")
 def resample_smote(t):
-    rows = t.txns().select("transaction_id", "is_fraud", F.array(
+    """Rows per label and origin; synthetic rows lie within the span of the minority."""
+    rows = t.txns().select("transaction_id", F.col("is_fraud").cast("int").alias("is_fraud"), F.array(
         F.col("transaction_amt").cast("double") / 100, F.hour("transaction_dt").cast("double") / 24, (F.col("customer_id") % 6).cast("double")
     ).alias("v"))
-    return P.resample_smote(rows, "is_fraud", "transaction_id", "v")
+    made = P.resample_smote(rows, "is_fraud", "transaction_id", "v")
+    ends = [f(F.col("v")[i]).alias(f"{f.__name__}{i}") for i in range(3) for f in (F.min, F.max)]
+    span = rows.where("is_fraud = 1").agg(F.struct(*ends)).scalar()
+    within = F.lit(True)
+    for i in range(3):
+        within = within & (F.col("v")[i] >= F.col(f"s.min{i}") - 1e-9) & (F.col("v")[i] <= F.col(f"s.max{i}") + 1e-9)
+    checked = made.withColumn("s", span).withColumn("ok", ~F.col("synthetic") | within)
+    return checked.groupBy("is_fraud", "synthetic").agg(F.count(F.lit(1)).alias("n"), F.bool_and("ok").alias("inside"))
+
+
+OWN_GRIDS = {**TR.GRIDS, "gradient_boosting": {"maxDepth": [2, 3], "stepSize": [0.1, 0.2, 0.3]}}
 
 
-def small_fit(t, estimator: str = "gradient_boosting"):
+def own_models(task: str):
+    """Candidates of these queries: two of their own choice, the library's are larger."""
+    boosting = TR.GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=10, maxDepth=3, seed=TR.SEED)
+    return {"logistic_regression": TR.candidates("churn")["logistic_regression"], "gradient_boosting": boosting}
+
+
+def fitted(t, estimator: str = "gradient_boosting"):
     frame = loan_frame(t)
-    models = TR.candidates("churn", small=True)
-    return TR.fit_candidate(frame, SPEC, models[estimator], "loan_id"), frame
+    return TR.fit_candidate(frame, SPEC, own_models("default")[estimator], "loan_id"), frame
 
 
-@query("train_candidates")
+@query("train_candidates", "loans", """
+ SELECT 2::BIGINT AS n, 1::BIGINT AS selected, true AS best_is_selected, true AS better_than_chance, true AS threshold_inside,
+  (SELECT count(*) FROM loans) AS n_rows, true AS tuned""")
 def train_candidates(t):
-    """Candidates compared out of fold, the winner calibrated and measured."""
-    result = TR.train_candidates(loan_frame(t), SPEC, "loan_id", "issue_date", folds=2, small=True, tune=False, resample=False)
-    spark = t.spark
-    board = spark.createDataFrame([(r["algorithm"], r["cv_roc_auc"], r["algorithm"] == result.algorithm) for r in result.leaderboard],
-                                  "algorithm string, cv_roc_auc double, selected boolean")
-    return board.withColumns({"test_roc_auc": F.lit(result.metrics["roc_auc"]), "threshold": F.lit(result.threshold)})
+    """Candidates compared on five folds, the winner tuned, calibrated and measured."""
+    result = TR.train_candidates(loan_frame(t), SPEC, "loan_id", "issue_date", grids=OWN_GRIDS, models=own_models, resample=True)
+    board = t.spark.createDataFrame([(r["algorithm"], r["cv_roc_auc"], r["algorithm"] == result.algorithm) for r in result.leaderboard],
+                                    "algorithm string, cv_roc_auc double, chosen boolean")
+    m = result.metrics
+    return _facts(
+        board, selected=F.count_if("chosen"), best_is_selected=F.max_by("chosen", "cv_roc_auc"),
+        better_than_chance=F.lit(0.5 < m["roc_auc"] <= 1.0), threshold_inside=F.lit(0.0 <= result.threshold <= 1.0),
+        n_rows=F.lit(sum(result.rows.values())).cast("bigint"), tuned=F.lit(result.tuned),
+    )
 
 
-@query("tune_winner")
+@query("tune_winner", "", "SELECT 1::BIGINT AS n, true AS of_the_grid, true AS better_than_chance")
 def tune_winner(t):
-    folded = P.kfold_stratified(loan_frame(t), "default_flag", "loan_id", 2)
-    with TR.EncodedFolds(folded, SPEC, "loan_id", 2) as folds:
-        best, auc = TR.tune_winner(folds, "logistic_regression", TR.candidates("churn")["logistic_regression"], draws=2)
-    return t.spark.createDataFrame([(best.getOrDefault(best.getParam("regParam")), auc)], "reg_param double, cv_roc_auc double")
+    """Six draws on three folds."""
+    folded = P.kfold_stratified(loan_frame(t), "default_flag", "loan_id", TR.SEARCH_FOLDS)
+    best, auc = TR.tune_winner(folded, SPEC, "loan_id", TR.SEARCH_FOLDS, "logistic_regression", own_models("default")["logistic_regression"])
+    rows = folded.count() * (TR.SEARCH_FOLDS - 1) // TR.SEARCH_FOLDS
+    wanted = [1.0 / (c * rows) for c in TR.GRIDS["logistic_regression"]["C"]]
+    return _facts(t.spark.range(1), of_the_grid=F.lit(best.getRegParam() in wanted), better_than_chance=F.lit(0.5 < auc <= 1.0))
 
 
-@query("calibrate_scores")
+@query("calibrate_scores", "scores", "SELECT count(*) AS n, true AS inside, true AS known_method, true AS not_worse FROM scores")
 def calibrate_scores(t):
-    cal = TR.calibrate_scores(t.scores(), "y", "score", "id")
-    return cal.apply(t.scores()).withColumn("method", F.lit(cal.method))
+    """Calibrated scores are probabilities and their Brier score is no worse than before."""
+    rows = t.scores().withColumn("raw", F.col("score"))
+    cal = TR.calibrate_scores(rows, "y", "score", "id")
+    y = F.col("y").cast("double")
+    error = {c: F.avg((F.col(c) - y) * (F.col(c) - y)) for c in ("score", "raw")}
+    return _facts(
+        cal.apply(rows), inside=F.bool_and(F.col("score").between(0.0, 1.0)),
+        known_method=F.lit(cal.method in ("isotonic", "sigmoid")), not_worse=error["score"] <= error["raw"] + 1e-9,
+    )
 
 
-@query("score_model")
+@query("score_model", "loans", "SELECT count(*) AS n, true AS inside, true AS label_fits, true AS drivers_fit, true AS named FROM loans")
 def score_model(t):
-    model, frame = small_fit(t)
-    return SC.score_model(model, frame.select("loan_id", *SPEC.features), R.default_card(), 0.5, "risk_default", "2.0.0", SPEC.features)
+    """Probabilities, labels at the threshold, drivers and model names of all rows."""
+    model, frame = fitted(t)
+    card = R.default_card()
+    out = SC.score_model(model, frame.select("loan_id", *SPEC.features), card, 0.5, "risk_default", "2.0.0", SPEC.features)
+    labels = out.select("*", card.label(F.col("probability"), 0.5).alias("wanted"))
+    near = F.abs(F.col("probability") - 0.5) < 1e-4  # probabilities are rounded after the label is chosen
+    return _facts(
+        labels, inside=F.bool_and(F.col("probability").between(0.0, 1.0)), label_fits=F.bool_and(near | (F.col("prediction") == F.col("wanted"))),
+        drivers_fit=F.bool_and(F.col("top_drivers") == F.array(*[F.lit(f) for f in SPEC.features[:5]])),
+        named=F.bool_and((F.col("model") == "risk_default") & (F.col("model_version") == "2.0.0") & ~F.col("fallback")),
+    )
+
 
+ENCODED = "(SELECT 5+count(DISTINCT grade)+count(DISTINCT purpose)+count(DISTINCT home_ownership) FROM loans)"
 
-@query("feature_importance")
+
+@query("feature_importance", "loans", f"SELECT {ENCODED} AS n, 1.0::DOUBLE AS total, true AS not_negative")
 def feature_importance(t):
-    model, _ = small_fit(t)
-    return TR.feature_importance(model, SPEC, t.spark)
+    """One row per encoded feature; a tree model's importances add up to one."""
+    model, _ = fitted(t)
+    found = TR.feature_importance(model, SPEC, t.spark)
+    return _facts(found, total=F.round(F.sum("importance"), 6), not_negative=F.bool_and(F.col("importance") >= 0))
 
 
-@query("explain_rows")
+@query("explain_rows", "loans", f"SELECT count(*)*{ENCODED} AS n, 0.0::DOUBLE AS mean_sum, true AS adds_up FROM loans")
 def explain_rows(t):
-    model, frame = small_fit(t, "logistic_regression")
-    return TR.explain_linear(model, frame, SPEC, "loan_id")
+    """Contributions of a row add up to its margin's distance from the mean margin."""
+    model, frame = fitted(t, "logistic_regression")
+    made = TR.explain_linear(model, frame, SPEC, "loan_id")
+    margin = model.transform(frame).select("loan_id", vector_to_array("rawPrediction")[1].alias("margin"))
+    summed = made.groupBy("loan_id").agg(F.sum("contribution").alias("s"), F.count(F.lit(1)).alias("k")).join(margin, "loan_id")
+    gap = summed.select("s", "k", (F.col("margin") - F.col("s")).alias("rest"))
+    return gap.agg(
+        F.sum("k").alias("n"), F.abs(F.round(F.avg("s"), 6)).alias("mean_sum"), (F.max("rest") - F.min("rest") < 1e-6).alias("adds_up")
+    )
 
 
-@query("explain_top_features")
+@query("explain_top_features", "loans", f"SELECT {ENCODED} AS n, true AS not_negative")
 def explain_top_features(t):
-    model, frame = small_fit(t, "logistic_regression")
-    return TR.top_features(TR.explain_linear(model, frame, SPEC, "loan_id"))
+    model, frame = fitted(t, "logistic_regression")
+    return _facts(TR.top_features(TR.explain_linear(model, frame, SPEC, "loan_id")), not_negative=F.bool_and(F.col("impact") >= 0))
 
 
-@query("anomaly_forest")
+@query("anomaly_forest", "loans", "SELECT count(*) AS n, 0.0::DOUBLE AS least, 1.0::DOUBLE AS most FROM loans")
 def anomaly_forest(t):
+    """Scores of a full forest span zero to one."""
     frame = loan_frame(t)
     prep = TR.preprocessor(frame, SPEC).fit(frame)
     vectors = prep.transform(frame).select("loan_id", vector_to_array("features").alias("v"))
-    return AN.anomaly_scores(vectors, "loan_id", "v", trees=25)
+    scored = AN.anomaly_scores(vectors, "loan_id", "v")
+    return _facts(scored, least=F.round(F.min("score"), 9), most=F.round(F.max("score"), 9))

@@ -46,7 +46,7 @@ def audited_write(
         write_table(observed.where(~F.col("_bad")).drop("_bad"), target, mode)
         read, failed = seen.get["read"], seen.get["failed"]
     except Exception as exc:  # the audit row must exist for failed loads too
-        status, error, problem = "FAILED", str(exc)[:500], exc
+        status, error, problem = "FAILED", str(exc), exc
     finally:
         spark.catalog.dropGlobalTempView(view)
     done = datetime.now(timezone.utc).replace(tzinfo=None)

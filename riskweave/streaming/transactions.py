@@ -75,22 +75,22 @@ def _window_measures() -> list:
 
 
 def tumbling_minute(txns: DataFrame, now: str | None = None, delay: str | None = None) -> DataFrame:
-    """Per-minute totals.  With ``now``: the two hours before it, newest first
-    (batch).  With ``delay``: a watermarked stream."""
+    """Per-minute totals.  With ``now``: the two hours up to it, both edges
+    included, newest first (batch).  With ``delay``: a watermarked stream."""
     if delay:
         txns = txns.withWatermark("transaction_ts", delay)
     if now:
-        start = F.lit(now).cast("timestamp") - F.expr(f"interval {LONG}")
-        txns = txns.where(F.col("transaction_ts") >= start)
+        end = F.lit(now).cast("timestamp")
+        txns = txns.where(F.col("transaction_ts").between(end - F.expr(f"interval {LONG}"), end))
     out = txns.groupBy(F.window("transaction_ts", MINUTE)).agg(*_window_measures())
     out = out.select(F.col("window.start").alias("minute_bucket"), "total_transactions", "fraud_count", "avg_amount", "total_amount")
     return out.orderBy(F.col("minute_bucket").desc()) if now else out
 
 
 def rolling_5min(txns: DataFrame, now: str) -> DataFrame:
-    """One row: the five minutes up to ``now``, lower edge included (batch)."""
+    """One row: the five minutes up to ``now``, both edges included (batch)."""
     end = F.lit(now).cast("timestamp")
-    recent = txns.where(F.col("transaction_ts") >= end - F.expr(f"interval {SHORT}"))
+    recent = txns.where(F.col("transaction_ts").between(end - F.expr(f"interval {SHORT}"), end))
     average = F.round(F.try_divide(F.sum("amount").cast("decimal(28,6)"), F.count("amount")), 2).cast("decimal(38,2)")
     return recent.agg(
         F.count(F.lit(1)).alias("transactions_last_5min"), F.count_if("is_fraud").alias("fraud_last_5min"),
@@ -175,15 +175,15 @@ def start_insert_once(txns: DataFrame, target: str, checkpoint: str, once: bool
     return _triggered(writer, once).start()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows a query has dropped for being older than its watermark."""
-    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in _operators(p))
+def late_rows(read: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows that windowed totals hold, and rows of their source that came too late for them.
 
-
-def _operators(progress) -> list[dict]:
-    import json
-
-    return json.loads(progress.json if hasattr(progress, "json") else str(progress)).get("stateOperators", [])
+    Both are counted from stored rows: a query's own progress reports are trimmed
+    to the newest hundred, and count groups rather than rows.
+    """
+    total = read.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    held = windows.agg(F.coalesce(F.sum("total_transactions"), F.lit(0)).alias("ingested"))
+    return held.select("ingested", (total - F.col("ingested")).alias("dropped"))
 
 
 def _exists(spark, path: str) -> bool:

@@ -29,18 +29,30 @@ def enable_state_store(spark: SparkSession) -> None:
     )
 
 
+def _inside(us: np.ndarray, values: np.ndarray, span: int) -> np.ndarray:
+    """Total of ``values`` over the rows of the last ``span``, at each row.
+
+    A row enters at its time and leaves ``span`` later, after the rows of that
+    very moment; the running total over both kinds of events is what is inside.
+    """
+    rows = len(us)
+    leaves = np.repeat([False, True], rows)
+    order = np.lexsort((leaves, np.concatenate([us, us + span])))
+    running = np.cumsum(np.concatenate([values, -values])[order])
+    out = np.empty_like(running)
+    out[order] = running
+    return out[:rows]
+
+
 def window_features(us: np.ndarray, cents: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     """Counts, sum and std at the positions ``at`` of rows sorted by time."""
-    upto = at + 1
-    hour = np.searchsorted(us, us[at] - HOUR_US, side="left")
-    day = np.searchsorted(us, us[at] - DAY_US, side="left")
-    sums = np.concatenate([[0], np.cumsum(cents)])
-    squares = np.concatenate([[0], np.cumsum([int(c) * int(c) for c in cents], dtype=object)])
-    n = upto - day
-    s = sums[upto] - sums[day]
-    q = squares[upto] - squares[day]
-    spread = np.array([float(int(a) * int(b) - int(c) * int(c)) for a, b, c in zip(n, q, s)])
-    return {"txn_cnt_1h": upto - hour, "txn_cnt_24h": n, "txn_amt_sum_24h": s / 100.0, "txn_amt_std_24h": np.sqrt(spread) / n / 100.0}
+    ones, exact = np.ones(len(us), np.int64), cents.astype(object)  # squares outgrow 64 bits
+    n, s, q = (_inside(us, v, DAY_US)[at] for v in (ones, exact, exact * exact))
+    spread = (n.astype(object) * q - s * s).astype(float)
+    return {
+        "txn_cnt_1h": _inside(us, ones, HOUR_US)[at], "txn_cnt_24h": n, "txn_amt_sum_24h": s.astype(float) / 100.0,
+        "txn_amt_std_24h": np.sqrt(spread) / n / 100.0,
+    }
 
 
 class _Velocity(StatefulProcessor):

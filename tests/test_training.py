@@ -57,19 +57,15 @@ def points(spark, n=60, majority=600):
     return spark.createDataFrame(rows, "id int, y int, v array<double>"), np.array([r[2] for r in rows[:n]])
 
 
-def test_exact_neighbors(spark):
-    df, m = points(spark)
-    got = P.nearest_minority(df.where("y = 1").select("id", "v"), "id", "v").collect()
-    d = ((m[:, None] - m[None]) ** 2).sum(-1)
-    np.fill_diagonal(d, np.inf)
-    for r in got:
-        assert r["neighbor"] == np.argsort(d[r["id"]])[r["place"] - 1]
-    assert len(got) == 60 * 5
+def test_neighbors_do_not_depend_on_partitions(spark):
+    df = points(spark)[0].where("y = 1").select("id", "v")
+    one, many = (P.nearest_minority(df.repartition(n), "id", "v") for n in (1, 7))
+    assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
 
 
 def test_projected_neighbors_are_near(spark):
     df, m = points(spark)
-    got = P.nearest_minority(df.where("y = 1").select("id", "v"), "id", "v", exact_limit=10, probes=6).collect()
+    got = P.nearest_minority(df.where("y = 1").select("id", "v"), "id", "v", probes=6).collect()
     d = ((m[:, None] - m[None]) ** 2).sum(-1)
     np.fill_diagonal(d, np.inf)
     hits = sum(r["neighbor"] in set(np.argsort(d[r["id"]])[:5]) for r in got)
@@ -98,9 +94,13 @@ def test_mode_tie_takes_the_smallest(spark):
     assert P.column_modes(df, ["c"]).first()["mode"] == "a"
 
 
+def boosting(task):
+    return {"gradient_boosting": TR.GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=5, maxDepth=3, seed=1)}
+
+
 def test_train_candidates(churn):
-    result = TR.train_candidates(churn, SMALL, "id", folds=2, small=True, tune=True, draws=1, grid={"maxDepth": [3]} , resample=False,
-                                 models=lambda task, small: {"gradient_boosting": TR.candidates(task, small)["gradient_boosting"]})
+    result = TR.train_candidates(churn, SMALL, "id", folds=2, tune=True, draws=1, grids={"gradient_boosting": {"maxDepth": [3]}}, resample=False,
+                                 models=boosting)
     assert result.rows["validation"] > 0 and 0.5 < result.metrics["roc_auc"] <= 1
     m = result.metrics
     assert m["tp"] + m["fp"] + m["tn"] + m["fn"] == result.rows["test"]
@@ -110,7 +110,7 @@ def test_train_candidates(churn):
 
 
 def test_unknown_category_scores(churn, spark):
-    model = TR.fit_candidate(churn, SMALL, TR.candidates("churn", True)["logistic_regression"], "id")
+    model = TR.fit_candidate(churn, SMALL, TR.candidates("churn")["logistic_regression"], "id")
     odd = churn.limit(5).withColumn("contract_type", F.lit("never seen")).withColumn("tenure", F.lit(None).cast("int"))
     scores = [r["score"] for r in TR.scored(model, odd, "id", "churn_flag").collect()]
     assert len(scores) == 5 and all(0 <= s <= 1 for s in scores)
@@ -124,7 +124,7 @@ def test_unknown_category_scores(churn, spark):
 def test_saved_pipeline_scores_the_same(churn, spark, tmp_path):
     from pyspark.ml import PipelineModel
 
-    model = TR.fit_candidate(churn, SMALL, TR.candidates("churn", True)["logistic_regression"], "id")
+    model = TR.fit_candidate(churn, SMALL, TR.candidates("churn")["logistic_regression"], "id")
     model.write().overwrite().save(str(tmp_path / "m"))
     again = PipelineModel.load(str(tmp_path / "m"))
     a = TR.scored(model, churn, "id", "churn_flag").orderBy("id").collect()
@@ -132,7 +132,7 @@ def test_saved_pipeline_scores_the_same(churn, spark, tmp_path):
 
 
 def test_permutation_importance(churn):
-    model = TR.fit_candidate(churn, SMALL, TR.candidates("churn", True)["logistic_regression"], "id")
+    model = TR.fit_candidate(churn, SMALL, TR.candidates("churn")["logistic_regression"], "id")
     got = {r["feature"]: r["importance"] for r in TR.permutation_importance(model, churn, SMALL, "id").collect()}
     assert set(got) == set(SMALL.features) and max(got, key=got.get) == "tenure"
 
@@ -176,7 +176,7 @@ def test_fraud_run_includes_the_forest(spark):
         rows.append((i, i, rng.gauss(50 + 150 * y, 40), rng.choice(["mobile", "desktop"]), y))
     df = spark.createDataFrame(rows, "id int, transaction_dt int, transaction_amt double, device_type string, is_fraud int")
     spec = P.FeatureSpec("fraud", "is_fraud", ("transaction_amt",), ("device_type",))
-    result = TR.train_candidates(df, spec, "id", "transaction_dt", folds=2, small=True, tune=False,
-                                 models=lambda task, small: {"gradient_boosting": TR.candidates(task, small)["gradient_boosting"]})
+    result = TR.train_candidates(df, spec, "id", "transaction_dt", folds=2, tune=False, forest_trees=20,
+                                 models=boosting)
     assert {r["algorithm"] for r in result.leaderboard} == {"gradient_boosting", "isolation_forest"}
     assert result.metrics["baseline_cost"] >= result.metrics["expected_cost"] and result.metrics["roc_auc"] > 0.8
