@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import batches_by_bytes, narrow, stored
 
 #: Words, and pre-tokens, that a worker remembers before it starts anew; bounds its memory, not what it encodes.
-WORDS, PRETOKENS = 400_000, 900_000
+WORDS, PRETOKENS = 200_000, 600_000
 
 
 class WordEncoder:

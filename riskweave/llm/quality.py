@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import narrow, raw_texts
+from riskweave.llm.common import batches_by_bytes, narrow, raw_texts
 from riskweave.llm.word_features import BUCKETS, Featuriser, WordScores, labelled_sample, logistic
 
 #: Most labelled rows that training reads.
@@ -82,7 +82,7 @@ def train(sample: list[tuple[bytes, int]], seed: int = 11) -> QualityModel:
 def _score(shared, at: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in batches_by_bytes(batches, "text", 2 << 20):
             scores = np.array([model.score(t) for t in raw_texts(batch.column("text"))], np.float64)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(scores), "predicted": pa.array((scores >= at).astype(np.int32))})
 

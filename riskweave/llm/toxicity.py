@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import narrow, raw_texts
+from riskweave.llm.common import batches_by_bytes, narrow, raw_texts
 from riskweave.llm.word_features import BUCKETS, Featuriser, WordScores, labelled_sample, logistic
 
 #: Most labelled rows that training reads.
@@ -139,7 +139,7 @@ def train(sample: list[tuple[bytes, int]], seed: int = 5, pull: float = PULL) ->
 def _score(shared, at: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in batches_by_bytes(batches, "text", 2 << 20):
             scores = np.array([model.score(t) for t in raw_texts(batch.column("text"))], np.float64)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(scores), "predicted": pa.array((scores >= at).astype(np.int32))})
 
@@ -157,11 +157,11 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, at: float = 0.5, id_c
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, at: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that score below `at`, with all their columns."""
-    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fine = [shared.value.score(t) < at for t in raw_texts(batch.column(place))]
+        for batch in batches_by_bytes(batches, text_col, 2 << 20):
+            fine = [shared.value.score(t) < at for t in raw_texts(batch.column(text_col))]
             yield batch.filter(pa.array(fine, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

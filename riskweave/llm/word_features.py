@@ -17,7 +17,7 @@ BUCKETS = 1 << 18
 #: Shortest and longest character n-gram; `<` and `>` mark the ends of a word.
 SHORTEST, LONGEST = 3, 5
 #: Words whose score a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def bucket_list(word: bytes) -> list[int]:
