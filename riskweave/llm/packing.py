@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import batches_by_bytes, narrow, stored
 
 #: Words, and pre-tokens, that a worker remembers before it starts anew; bounds its memory, not what it encodes.
-WORDS, PRETOKENS = 200_000, 600_000
+REMEMBERED = 1_000_000
 
 
 class WordEncoder:
@@ -37,7 +37,7 @@ class WordEncoder:
     taken apart further at the tokenizer's own pre-token borders.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -47,6 +47,7 @@ class WordEncoder:
         self.pretokens = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
         self.plain = re.compile("[\x00-\x1b\x20-\x84\x86-˿]*").fullmatch
         self.parts: dict[str, bytes] = {}
+        self.remembered = remembered
         self._forget()
 
     def _forget(self) -> None:
@@ -57,7 +58,7 @@ class WordEncoder:
     def _learn(self) -> None:
         """Encodes the words that turned up since the last call."""
         words, self.rows.fresh = self.rows.fresh, []
-        if len(self.parts) > PRETOKENS:
+        if len(self.parts) > self.remembered:
             self.parts.clear()
         split, alone = [], []
         for word in words:
@@ -84,7 +85,7 @@ class WordEncoder:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.rows) > WORDS:
+        if len(self.rows) > self.remembered:
             self._forget()
         rows = []
         for text in texts:
@@ -121,20 +122,20 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
 
 
 @cache
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
     """One encoder a worker process."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordEncoder(path)
+    return WordEncoder(path, remembered)
 
 
 _PIECES = "part int, rank long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _cut(path: str, size: int, end_id: int):
+def _cut(path: str, size: int, end_id: int, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(path), TaskContext.get().partitionId()
+        encode, part = encoder(path, remembered), TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches_by_bytes(batches, "text", 4 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -255,13 +256,13 @@ def _assign(places: dict[int, np.ndarray]):
     return run
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of at most `size` ids of every document, its ids followed by `end_id`.
 
     Columns part, rank (among the pieces of one length in one partition), doc_id, piece,
     start, length, ids_crc32.  Null text counts as empty and gives one piece of length one.
     """
-    return narrow(docs, id_col, text_col).mapInArrow(_cut(tokenizer, size, end_id), _PIECES)
+    return narrow(docs, id_col, text_col).mapInArrow(_cut(tokenizer, size, end_id, remembered), _PIECES)
 
 
 def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
@@ -281,11 +282,12 @@ def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "all_rank").mapInArrow(_assign(places), columns)
 
 
-def best_two_fit(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def best_two_fit(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """`docs` packed into as few sequences of `size` tokens as best-two-fit finds.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.  Only
-    documents longer than a sequence are cut.  Null and empty texts take one token; null ids
+    documents longer than a sequence are cut.  `remembered` bounds the words that a worker keeps
+    in memory, and with it the time, not the result.  Null and empty texts take one token; null ids
     and repeated rows are kept as rows of their own; an empty table gives an empty result.
     """
-    return pack(token_pieces(docs, tokenizer, size, end_id, id_col, text_col), size)
+    return pack(token_pieces(docs, tokenizer, size, end_id, id_col, text_col, remembered), size)
