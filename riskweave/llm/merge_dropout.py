@@ -1,10 +1,11 @@
 """SentencePiece BPE with seeded merge-dropout, and its decoding.
 
-Pieces are merged off an agenda, best score first, leftmost first among equals;
-each candidate merge is skipped when a keyed hash of seed, stream, unit, place and
-piece falls under the dropout rate.  Every occurrence of a word draws one of a few
-streams by document and place, so a word is cut in varied ways while a worker can
-remember each (stream, word) once.  Rate zero gives the model's own segmentation.
+Pieces are merged off an agenda, best score first, leftmost first among equals; each
+candidate merge is skipped when a keyed hash of seed, document, place of the word, place
+and piece of the candidate falls under the dropout rate.  So every occurrence of a word
+draws for itself.  A worker remembers what does not depend on the draw: for each part of
+a word a tree of the candidates that come next when the one before was taken or skipped,
+as far as occurrences have gone down.  Rate zero gives the model's own segmentation.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from riskweave.llm.common import batches_by_bytes, id_array
 
 #: The mark that pieces carry for a space.
 SPACE = "▁"
-#: Segmentations of a word that different occurrences choose from.
-STREAMS = 4
-#: (stream, word) pairs a worker remembers before it starts anew.
-REMEMBERED = 600_000
+#: Words, and candidates and ids in trees, that a worker remembers before it starts anew.
+REMEMBERED, KEPT = 150_000, 2_000_000
+#: Characters of a part from which each occurrence is cut without a tree.
+LONG = 48
 _UNITS = re.compile(" *[^ ]+| +").findall
 
 
@@ -65,14 +66,30 @@ class Pieces:
 
 
 _PLACE = (1 << 24) - 1
+_WORD = (1 << 64) - 1
+_M1, _M2, _M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
-def segment(unit: str, pieces: Pieces, rate: float, key: int) -> list[int]:
-    """Ids of a part of a word; `key` names seed and stream.
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Hash of 64-bit words."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(_M2)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(_M3)
+    return x ^ (x >> np.uint64(31))
+
+
+def _draws(keys: np.ndarray, tops: np.ndarray) -> np.ndarray:
+    """24 bits that an occurrence of this key draws for a candidate, as `segment` does."""
+    x = (keys ^ tops) * np.uint64(_M2)
+    return ((x ^ (x >> np.uint64(32))) * np.uint64(_M3)) >> np.uint64(40)
+
+
+def segment(unit: str, pieces: Pieces, limit: int, key: int, path: list[tuple[int, bool]] | None = None) -> list[int]:
+    """Ids of a part of a word; `key` names seed, document and place, `limit` is the rate in 2^-24.
 
     An agenda entry packs rank, start and length of a candidate; one whose symbols were
     merged otherwise meanwhile no longer adds up to its length.  A skipped candidate comes
-    back only as a new pair, after a merge beside it.
+    back only as a new pair, after a merge beside it.  `path` gets the candidates in turn
+    and whether they were skipped.
     """
     end = len(unit)
     rank, size, before = pieces.rank, [1] * end, list(range(-1, end - 1))
@@ -80,8 +97,6 @@ def segment(unit: str, pieces: Pieces, rate: float, key: int) -> list[int]:
     for i in range(end - 1):
         if (r := rank.get(unit[i : i + 2])) is not None:
             agenda.append(r | i << 24 | 2)
-    limit = int(rate * 2.0**24)
-    name = xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), key) if limit and agenda else 0
     heapify(agenda)
     while agenda:
         top = pop(agenda)
@@ -90,8 +105,13 @@ def segment(unit: str, pieces: Pieces, rate: float, key: int) -> list[int]:
         j = i + left
         if not left or j >= end or left + size[j] != length:
             continue
-        if limit and (name ^ top) * 0x9E3779B97F4A7C15 >> 40 & 0xFFFFFF < limit:
-            continue
+        if limit:
+            x = (key ^ top) * _M2 & _WORD
+            skipped = ((x ^ x >> 32) * _M3 & _WORD) >> 40 < limit
+            if path is not None:
+                path.append((top, skipped))
+            if skipped:
+                continue
         size[i], size[j] = length, 0
         k, h = i + length, before[i]
         if k < end:
@@ -112,81 +132,147 @@ def segment(unit: str, pieces: Pieces, rate: float, key: int) -> list[int]:
     return out
 
 
-class _Stream(dict):
-    """Rows of one stream's words in the memory they share."""
+class _Words(dict):
+    """Rows of words in the memory of their parts."""
 
-    def __init__(self, number: int, memory: DropoutEncoder):
-        self.number, self.memory = number, memory
+    def __init__(self, memory: DropoutEncoder):
+        self.memory = memory
 
     def __missing__(self, word: str) -> int:
         memory = self.memory
-        self[word] = row = len(memory.size)
-        ids = memory.unit_ids(word, self.number)
-        memory.size.append(len(ids))
-        memory.begin.append(len(memory.flat))
-        memory.flat.extend(ids)
+        self[word] = row = len(memory.count)
+        parts = memory.parts_of(word)
+        memory.count.append(len(parts))
+        memory.first.append(len(memory.part))
+        for part, offset in parts:
+            memory.part.append(part)
+            memory.offset.append(offset)
         return row
 
 
 class DropoutEncoder:
     def __init__(self, path: str, rate: float, seed: int):
-        self.pieces, self.rate, self.seed = Pieces(path), rate, seed
+        self.pieces, self.limit, self.seed = Pieces(path), int(rate * 2.0**24), seed
         self._forget()
 
     def _forget(self) -> None:
         from array import array
 
+        #: Ids of leaves, one after the other.
         self.flat, self.begin, self.size = array("i"), array("q"), array("i")
-        self.streams = [_Stream(i, self) for i in range(STREAMS if self.rate else 1)]
-        self.parts: list[dict[str, list[int]]] = [{} for _ in self.streams]
-
-    def unit_ids(self, word: str, stream: int) -> list[int]:
-        """A word stands for one space and itself; a mark of the model's own that occurs in a text is kept as bytes."""
-        if SPACE not in word:
-            return self._cut((SPACE + word).replace(" ", SPACE), stream)
-        mark = [self.pieces.bytes[b] for b in SPACE.encode()]
-        out: list[int] = []
-        for i, part in enumerate((" " + word).split(SPACE)):
-            out += mark if i else []
-            out += self._cut(part.replace(" ", SPACE), stream) if part else []
+        #: Parts of words, and where they begin in the word.
+        self.part, self.offset, self.first, self.count = array("q"), array("q"), array("q"), array("q")
+        #: A part's root and a node's two children (taken, skipped): a node, ~row of a leaf, or 0 where nobody has been yet.
+        self.root, self.tops, self.children = array("q"), array("Q", [0]), array("q", [0, 0])
+        self.words, self.parts, self.texts = _Words(self), {}, []
+
+    def _leaf(self, ids: list[int]) -> int:
+        self.begin.append(len(self.flat))
+        self.size.append(len(ids))
+        self.flat.extend(ids)
+        return ~(len(self.size) - 1)
+
+    def parts_of(self, word: str) -> list[tuple[int, int]]:
+        """(part, offset) of a word between the borders that no piece crosses.
+
+        A word stands for one space and itself; a mark of the model's own that occurs in a
+        text is kept as bytes.
+        """
+        pairs, out, at = self.pieces.pairs, [], 0
+        for n, text in enumerate((" " + word).split(SPACE)):
+            if n:
+                out.append((self._part(None), at))
+                at += 1
+            unit, begin = text.replace(" ", SPACE), 0
+            for end in [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in pairs] + [len(unit)] * bool(unit):
+                out.append((self._part(unit[begin:end]), at + begin))
+                begin = end
+            at += len(unit)
         return out
 
-    def _cut(self, unit: str, stream: int) -> list[int]:
-        """Ids of a unit, segmented between the borders that no piece crosses."""
-        pairs, known, key = self.pieces.pairs, self.parts[stream], self.seed * 1000 + stream
-        out: list[int] = []
-        begin = 0
-        for end in [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in pairs] + [len(unit)]:
-            part = unit[begin:end]
-            if (ids := known.get(part)) is None:
-                ids = known[part] = segment(part, self.pieces, self.rate, key)
-            out += ids
-            begin = end
-        return out
+    def _part(self, text: str | None) -> int:
+        """Number of a part; None is the mark inside a text."""
+        if (found := self.parts.get(text)) is None:
+            found = self.parts[text] = len(self.texts)
+            self.texts.append(text or "")
+            self.root.append(0 if text else self._leaf([self.pieces.bytes[b] for b in SPACE.encode()]))
+        return found
+
+    def _cut(self, part: int, key: int) -> int:
+        """Leaf of one occurrence, whose way through the tree is remembered."""
+        text = self.texts[part]
+        if len(text) > LONG and self.limit:
+            return self._leaf(segment(text, self.pieces, self.limit, key))
+        path: list[tuple[int, bool]] = []
+        ids = segment(text, self.pieces, self.limit, key, path)
+        into, at, tops, children = self.root, part, self.tops, self.children
+        for top, skipped in path:
+            if not (node := into[at]):
+                node = into[at] = len(tops)
+                tops.append(top)
+                children.append(0)
+                children.append(0)
+            into, at = children, 2 * node + skipped
+        if not into[at]:
+            into[at] = self._leaf(ids)
+        return into[at]
+
+    def _leaves(self, parts: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Leaf rows of occurrences."""
+        at = np.frombuffer(self.root, np.int64)[parts]
+        new = np.flatnonzero(at == 0)
+        at[new] = [self.root[p] or self._cut(p, k) for p, k in zip(parts[new].tolist(), keys[new].tolist(), strict=True)]
+        live = np.flatnonzero(at > 0)
+        while len(live):
+            node = at[live]
+            child = 2 * node + (_draws(keys[live], np.frombuffer(self.tops, np.uint64)[node]) < np.uint64(self.limit))
+            into = np.frombuffer(self.children, np.int64)[child]
+            new = np.flatnonzero(into == 0)
+            if len(new):
+                here = live[new]
+                into[new] = [self.children[c] or self._cut(p, k) for c, p, k in zip(child[new].tolist(), parts[here].tolist(), keys[here].tolist(), strict=True)]
+            at[live] = into
+            live = live[into > 0]
+        return ~at
+
+    def encode(self, texts: list[str], documents: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, one after the other, and their numbers; documents and places key the draws.  An empty text has none."""
+        if len(self.words) > REMEMBERED or len(self.tops) + len(self.flat) > KEPT:
+            self._forget()
+        rows: list[int] = []
+        sizes = np.zeros(len(texts), np.int64)
+        known = self.words.__getitem__
+        for n, text in enumerate(texts):
+            if text:
+                spaced = "  " in text or text[0] == " " or text[-1] == " "
+                words = [u[1:] for u in _UNITS(" " + text)] if spaced else text.split(" ")
+                rows += map(known, words)
+                sizes[n] = len(words)
+        if not rows:
+            return np.zeros(0, np.int32), sizes
+        word = np.array(rows, np.int64)
+        starts = np.array([xxhash.xxh64_intdigest(b"%d" % d, self.seed) for d in documents], np.uint64)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys = _mixed(np.repeat(starts, sizes) + place.astype(np.uint64) * np.uint64(_M1))
+        # Words become parts, parts leaves, leaves ids.
+        count = np.frombuffer(self.count, np.int64)[word]
+        at = _spread(np.frombuffer(self.first, np.int64)[word], count)
+        keys = np.repeat(keys, count) + np.frombuffer(self.offset, np.int64)[at].astype(np.uint64) * np.uint64(_M1)
+        leaf = self._leaves(np.frombuffer(self.part, np.int64)[at], keys)
+        size = np.frombuffer(self.size, np.int32)[leaf].astype(np.int64)
+        ids = np.frombuffer(self.flat, np.int32)[_spread(np.frombuffer(self.begin, np.int64)[leaf], size)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])][np.concatenate([[0], np.cumsum(sizes)])]
+        return ids, np.diff(ends)
 
     def __call__(self, text: str, document: int) -> np.ndarray:
-        """Ids of a whole text; `document` and place choose the streams.  An empty text has none."""
-        if not text:
-            return np.zeros(0, np.int32)
-        if len(self.size) > REMEMBERED:
-            self._forget()
-        if "  " in text or text[0] == " " or text[-1] == " ":
-            words = [u[1:] for u in _UNITS(" " + text)]
-        else:
-            words = text.split(" ")
-        if len(self.streams) == 1:
-            rows = list(map(self.streams[0].__getitem__, words))
-        else:
-            start = xxhash.xxh64_intdigest(b"%d" % document, self.seed)
-            mixed = (np.arange(len(words), dtype=np.uint64) + np.uint64(start)) * np.uint64(0x9E3779B97F4A7C15)
-            chosen = ((mixed ^ (mixed >> np.uint64(29))) >> np.uint64(7)) % np.uint64(STREAMS)
-            streams = self.streams
-            rows = [streams[s][w] for s, w in zip(chosen.tolist(), words, strict=True)]
-        flat, begin, size = (np.frombuffer(a, t) for a, t in ((self.flat, np.int32), (self.begin, np.int64), (self.size, np.int32)))
-        at = np.array(rows)
-        sizes = size[at].astype(np.int64)
-        ends = np.cumsum(sizes)
-        return flat[np.repeat(begin[at] - ends + sizes, sizes) + np.arange(ends[-1])]
+        """Ids of one text."""
+        return self.encode([text], [document])[0]
+
+
+def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs of these begins and sizes."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 @cache
@@ -209,11 +295,11 @@ def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 17, id_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoded = encoder(model, rate, seed)
-        for batch in batches_by_bytes(batches, "text", 2 << 20):
+        for batch in batches_by_bytes(batches, "text", 1 << 20):
             texts = batch.column("text").to_pylist()
-            got = [encoded(t, d) for t, d in zip(texts, id_array(batch.column("doc_id")).tolist(), strict=True)]
-            offsets = np.concatenate([[0], np.cumsum([len(g) for g in got])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got) if got else np.zeros(0, np.int32)))
+            flat, sizes = encoded.encode(texts, id_array(batch.column("doc_id")).tolist())
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "text": batch.column("text"), "ids": ids})
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -211,6 +211,29 @@ def test_dropout_varies_and_decodes_to_the_text(documents, odd_corpus):
     assert sorted((r.doc_id or -1, r.text, r.ids) for r in again) == sorted((r.doc_id or -1, r.text, r.ids) for r in got)
 
 
+def test_every_occurrence_draws_for_itself():
+    """Occurrences of a frequent word take many forms, in shares near those of independent draws."""
+    path = vocabulary("piece_bpe_32k.model")
+    own, plain = merge_dropout.DropoutEncoder(path, 0.1, 5), merge_dropout.DropoutEncoder(path, 0.0, 5)
+    for word in ("interesting", "development"):
+        want, n = plain(word, 0).tolist(), 3000
+        alone = [tuple(own(word, d).tolist()) for d in range(n)]
+        assert len(set(alone)) > 8
+        rng, ways = np.random.default_rng(2), [[] for _ in range(n)]
+        drawn = [merge_dropout.segment(merge_dropout.SPACE + word, own.pieces, own.limit, int(rng.integers(1 << 63)), w) for w in ways]
+        assert abs(alone.count(tuple(want)) - drawn.count(want)) < 0.05 * n
+        skips = np.array([[skipped for _, skipped in w[:3]] for w in ways])
+        assert abs(skips.mean() - 0.1) < 0.015
+        # The second draw goes its own way whether the first skipped or not.
+        assert all(abs(skips[skips[:, 0] == s, 1].mean() - 0.1) < 0.06 for s in (False, True))
+    # A batch gives what its texts give alone, and what is given without any memory.
+    texts = ["interesting development " * 40, "", "x\n" * 9 + "▁ interesting", "é" * 120]
+    ids, sizes = own.encode(texts, [1, 2, 3, -4])
+    parts = np.split(ids, np.cumsum(sizes)[:-1])
+    for t, d, got in zip(texts, [1, 2, 3, -4], parts, strict=True):
+        assert merge_dropout.DropoutEncoder(path, 0.1, 5)(t, d).tolist() == got.tolist()
+
+
 def test_word_encoder_is_the_tokenizer(corpus):
     encode = packing.WordEncoder(vocabulary("word_bpe_49k.json"))
     texts = [t or "" for _, t in corpus] + ODD
