@@ -1,6 +1,7 @@
 """Exact, line, SimHash and suffix deduplication against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 from itertools import combinations
@@ -126,6 +127,45 @@ def test_lines_of_one_bucket_in_different_components_meet(spark, documents, link
     assert got == brute_lines(rows, links)
 
 
+def variants(n, seed):
+    """Lines of one template, most of them a little less alike than the bound."""
+    rng = random.Random(seed)
+    base = "the quick brown fox jumps over the lazy dog and runs far away from home until the night falls"
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(6))
+    lines = []
+    for _ in range(n):
+        kept = rng.choice(lines) if lines and rng.random() < 0.3 else f"{base} {word()} {word()}"
+        lines.append(kept + rng.choice("xyz") if kept in lines else kept)
+    return lines
+
+
+def test_large_buckets_are_cut(documents, links, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BUCKET", 8)
+    rows = list(enumerate(variants(150, 4)))
+    got = {(r.doc_id, r.line): (r.keep_doc_id, r.keep_line, r.group_size, r.kept) for r in line_dedup.near_lines(documents(rows)).collect()}
+    assert got == brute_lines(rows, links)
+
+
+def test_rare_shingles_find_all_pairs_and_few_others(spark):
+    lines = sorted(set(variants(300, 5)))
+    texts = spark.createDataFrame(list(enumerate(lines)), "node long, content string")
+    found = line_dedup._rare_pairs(texts.selectExpr("node", "node AS `group`"), texts, 0.8).distinct().collect()
+    sets = [line_dedup.shingles(x) for x in lines]
+    alike = {(a, b) for a in range(len(lines)) for b in range(a) if line_dedup.jaccard(sets[a], sets[b]) >= 0.8}
+    assert {tuple(sorted(p)) for p in alike} <= {(r.a, r.b) for r in found}
+    assert alike and len(found) < len(lines) ** 2 / 20
+
+
+def test_a_line_alone_at_a_border_belongs_to_its_bucket(spark):
+    """Tasks hold 1 | 2, 3 | 4 of bucket 7, and nothing is like its first line."""
+    stars = spark.createDataFrame([(7, 2, 3)], "band long, a long, b long")
+    border = spark.createDataFrame([(7, 1, 2), (7, 1, 4)], "band long, a long, b long")
+    nothing = spark.createDataFrame([], "a long, b long")
+    assert sorted(tuple(r) for r in line_dedup._members(stars, border, nothing).collect()) == [(7, n, n) for n in (1, 2, 3, 4)]
+    like = spark.createDataFrame([(1, 4), (2, 3)], "a long, b long")
+    assert sorted(tuple(r) for r in line_dedup._members(stars, border, like).collect()) == [(7, 1, 1), (7, 2, 2), (7, 3, 2), (7, 4, 1)]
+
+
 def test_drop_lines(documents, odd_corpus):
     df = documents(odd_corpus)
     out = line_dedup.drop_lines(df)
