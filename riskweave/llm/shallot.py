@@ -18,7 +18,7 @@ before their shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from decimal import Decimal
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ from riskweave.llm.common import stored
 #: Relative error granted to every floating-point step of a bound; far above 2^-53.
 SLACK = 1e-12
 LONGEST = 2**63 - 1
+#: Sums travel as digits of this base, so that none is too large for a column.
+BASE = 2**62
 
 
 def integers(raw: np.ndarray, scale: float) -> np.ndarray:
@@ -54,7 +56,13 @@ def squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _root(exact: np.ndarray, sign: int) -> np.ndarray:
-    return np.sqrt(exact.astype(np.float64)) * (1 + sign * SLACK)
+    """Square roots, rounded up (sign 1) or down (-1)."""
+    if exact.dtype != object:
+        return np.sqrt(exact.astype(np.float64)) * (1 + sign * SLACK)
+    most = np.finfo(np.float64).max
+    whole = [isqrt(v) + (sign > 0) for v in exact.ravel().tolist()]
+    found = [float(v) * (1 + sign * SLACK) if v < most else (np.inf if sign > 0 else most) for v in whole]
+    return np.array(found).reshape(exact.shape)
 
 
 class Centroids:
@@ -137,6 +145,15 @@ def _rounds(centroids: Centroids, scale: float) -> Callable[[Iterator[pa.RecordB
     return step
 
 
+def digits(value: int) -> list[int]:
+    """Base-2^62 digits, the least first, each with the sign of the value; none for zero."""
+    sign, rest, out = (-1 if value < 0 else 1), abs(value), []
+    while rest:
+        rest, digit = divmod(rest, BASE)
+        out.append(sign * digit)
+    return out
+
+
 def _moves(k: int, scale: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Per task: what joined less what left each cluster, as count and component sums."""
 
@@ -154,7 +171,7 @@ def _moves(k: int, scale: float) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         if held:
             yield pa.record_batch({
                 "cluster": pa.array(held, pa.int32()), "n": pa.array([counts[j] for j in held], pa.int64()),
-                "sums": pa.array([[str(v) for v in sums[j]] for j in held], pa.list_(pa.string())),
+                "sums": pa.array([[digits(v) for v in sums[j]] for j in held], pa.list_(pa.list_(pa.int64()))),
             })
 
     return step
@@ -225,13 +242,14 @@ def shallot_clusters(
         state = state.persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(state)
         moved = state.where("cluster <> previous").select("embedding", "cluster", "previous")
-        parts = moved.mapInArrow(_moves(k, scale), "cluster int, n long, sums array<string>")
-        change = parts.select("cluster", "n", F.posexplode("sums")).groupBy("cluster", "pos").agg(
-            F.sum("n").alias("n"), F.sum(F.col("col").cast("decimal(38,0)")).alias("s")
+        parts = moved.mapInArrow(_moves(k, scale), "cluster int, n long, sums array<array<long>>")
+        cells = parts.select("cluster", "n", F.posexplode("sums").alias("pos", "digits")).select("cluster", "n", "pos", F.posexplode_outer("digits").alias("digit", "v"))
+        change = cells.groupBy("cluster", "pos", "digit").agg(
+            F.sum(F.when(F.coalesce("digit", F.lit(0)) == 0, F.col("n"))).alias("n"), F.sum(F.col("v").cast("decimal(38,0)")).alias("s")
         )
-        for r in change.collect():  # at most k times `components` rows
-            totals[r["cluster"]][r["pos"]] += int(r["s"] or Decimal(0))
-            counts[r["cluster"]] += r["n"] if r["pos"] == 0 else 0
+        for r in change.collect():  # a row for each digit of k times `components` sums
+            totals[r["cluster"]][r["pos"]] += int(r["s"] or 0) * BASE ** (r["digit"] or 0)
+            counts[r["cluster"]] += (r["n"] or 0) if r["pos"] == 0 else 0
         for old in kept[:-1]:
             old.unpersist()
         kept = kept[-1:]
