@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from . import anomaly as AN
 from . import evaluation as E
+from .attribution import explain_trees
+from .boosting import HistogramBoosting, HistogramBoostingModel, fit_together
 from .ordered import exact_quantiles, hashed_rank
 from .preparation import FeatureSpec, class_counts, class_weights, column_modes, fold_count, kfold_stratified, resample_smote, resample_under, split_for_training
 
@@ -32,8 +34,8 @@ GRIDS = {
     "logistic_regression": {"C": [0.1, 1.0, 10.0], "weighted": [True, False]},
     "random_forest": {"numTrees": [100, 200, 400], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 5]},
     "gradient_boosting": {
-        "maxIter": [20, 50, 100], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1, 0.2], "subsamplingRate": [0.6, 0.8, 1.0],
-        "minInstancesPerNode": [1, 3, 7],
+        "maxIter": [20, 50, 100], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1, 0.2], "subsamplingRate": [0.6, 0.8, 1.0], "featureRate": [0.6, 0.8, 1.0],
+        "minHessian": [1.0, 3.0, 7.0, 15.0], "gamma": [0.0, 0.1, 0.5, 1.0], "l2": [1.0, 3.0, 10.0],
     },
 }
 # Sizes and limits of training.
@@ -44,15 +46,17 @@ LOGIT_CLIP = 1e-6
 SEED = 42
 
 
-def candidates(task: str) -> dict[str, Estimator]:
-    """Estimators tried for a task."""
+def candidates(task: str, pos_weight: float | None = None) -> dict[str, Estimator]:
+    """Estimators tried for a task; boosting for fraud weighs positives by `pos_weight` instead of balancing the classes."""
     common = {"featuresCol": "features", "labelCol": "label"}
     trees = {"churn": 180, "default": 220, "fraud": 200}[task]
     out: dict[str, Estimator] = {}
     if task == "churn":
         out["logistic_regression"] = LogisticRegression(maxIter=100, weightCol="weight", **common)
     out["random_forest"] = RandomForestClassifier(numTrees=trees, maxDepth=10, weightCol="weight", seed=SEED, **common)
-    out["gradient_boosting"] = GBTClassifier(maxIter=50, maxDepth=5, weightCol="weight", seed=SEED, **common)
+    boosting = HistogramBoosting(maxIter=50, maxDepth=5, stepSize=0.1, seed=SEED, **common)
+    scaled = task == "fraud" and pos_weight
+    out["gradient_boosting"] = boosting.copy({boosting.posWeight: round(pos_weight, 3)} if scaled else {boosting.weightCol: "weight"})
     return out
 
 
@@ -162,38 +166,66 @@ def cross_validate(
 ) -> dict[str, tuple[float, float]]:
     """Out-of-fold ROC-AUC and seconds of each estimator.
 
-    Folds are encoded one at a time, all estimators are fitted on a fold while it is
-    cached, and only their narrow scores are kept for the end.
+    All estimators are fitted on a fold while it is cached, and only their narrow scores are
+    kept for the end.  Histogram boosters of all folds and settings are grown together
+    after that: they cost the passes of one.
     """
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    y = spec.target
+    boosters = {name: e for name, e in estimators.items() if isinstance(e, HistogramBoosting)}
     kept: dict[str, list[DataFrame]] = {name: [] for name in estimators}
-    seconds = dict.fromkeys(estimators, 0.0)
+    seconds, held, parts = dict.fromkeys(estimators, 0.0), [], []
     try:
         for fold in range(k):
             prep, train = encode(folded.where(F.col("fold") != fold), spec, id_, resample)
             train = train.persist(StorageLevel.MEMORY_AND_DISK)
-            test = prep.transform(folded.where(F.col("fold") == fold)).select(id_, spec.target, "features").persist(StorageLevel.MEMORY_AND_DISK)
+            test = prep.transform(folded.where(F.col("fold") == fold)).select(id_, y, "features").persist(StorageLevel.MEMORY_AND_DISK)
+            held += [train, test]
+            parts.append((train.withColumn("_fold", F.lit(fold)), test))
             for name, estimator in estimators.items():
-                started = time.time()
-                part = scored(estimator.fit(train), test, id_, spec.target).persist(StorageLevel.MEMORY_AND_DISK)
-                part.count()  # taken while the fold is cached
-                kept[name].append(part)
-                seconds[name] += time.time() - started
-            train.unpersist()
-            test.unpersist()
+                if name not in boosters:
+                    started = time.time()
+                    kept[name].append(_taken(scored(estimator.fit(train), test, id_, y)))
+                    seconds[name] += time.time() - started
+            if not boosters:
+                for h in (train, test):
+                    h.unpersist()
+        # boosters that read the same columns share their rows
+        for weight in {_weight_of(e) for e in boosters.values()}:
+            together = {name: e for name, e in boosters.items() if _weight_of(e) == weight}
+            started = time.time()
+            every = parts[0][0]
+            for train, _ in parts[1:]:
+                every = every.unionByName(train)
+            for fold, models in fit_together(every, list(together.values()), group="_fold").items():
+                for name, model in zip(together, models, strict=True):
+                    kept[name].append(_taken(scored(model, parts[fold][1], id_, y)))
+            for name in together:
+                seconds[name] += (time.time() - started) / len(together)
         out = {}
-        for name, parts in kept.items():
-            every = parts[0]
-            for part in parts[1:]:
+        for name, scores in kept.items():
+            every = scores[0]
+            for part in scores[1:]:
                 every = every.unionByName(part)
-            out[name] = (_auc(every, spec.target), seconds[name])
+            out[name] = (_auc(every, y), seconds[name])
         return out
     finally:
-        for part in (p for parts in kept.values() for p in parts):
+        for part in (*held, *(p for scores in kept.values() for p in scores)):
             part.unpersist()
         folded.unpersist()
 
 
+def _weight_of(estimator: HistogramBoosting) -> str | None:
+    return estimator.getWeightCol() if estimator.isDefined("weightCol") else None
+
+
+def _taken(scores: DataFrame) -> DataFrame:
+    """Scores computed now, while what they come from is cached."""
+    scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
+    scores.count()
+    return scores
+
+
 def _auc(df: DataFrame, y: str) -> float:
     return E.roc_auc(df, y, "score").first()[0] or 0.0
 
@@ -219,6 +251,7 @@ def tune_winner(
     rows = folded.count() * (k - 1) // k
     trials = {str(i): with_setting(estimator, s, rows) for i, s in enumerate(random.Random(SEED).sample(every, min(draws, len(every))))}
     found = cross_validate(folded, spec, id_, k, trials, resample)
+    # of equal trials the first
     best = max(trials, key=lambda n: (found[n][0], -int(n)))
     return trials[best], found[best][0]
 
@@ -355,7 +388,9 @@ def _train(parts, spec, y, id_, folds, tune, draws, resample, grids, models, for
         fit_part, val = train, parts.where(F.col("part") == "test")
     test = parts.where(F.col("part") == "test")
     k = fold_count(fit_part, y, folds)
-    board, tried = [], models(spec.task)
+    positives = max(sides[0].get(1, 0), 1) if holdout else max(sizes.get(1, 0), 1)
+    rest = sum((sides[0] if holdout else sizes).values()) - positives
+    board, tried = [], models(spec.task, rest / positives) if models is candidates else models(spec.task)
     for name, (auc, took) in cross_validate(kfold_stratified(fit_part, y, id_, k), spec, id_, k, tried, resample).items():
         board.append({"task": spec.task, "algorithm": name, "cv_roc_auc": round(auc, 4), "training_seconds": round(took, 2)})
     forest = None
@@ -401,7 +436,9 @@ def _train(parts, spec, y, id_, folds, tune, draws, resample, grids, models, for
 def feature_importance(model: PipelineModel, spec: FeatureSpec, spark) -> DataFrame:
     """Importance, or absolute coefficient, per encoded feature, descending."""
     last = model.stages[-1]
-    if hasattr(last, "featureImportances"):
+    if isinstance(last, HistogramBoostingModel):
+        values = last.importances
+    elif hasattr(last, "featureImportances"):
         values = last.featureImportances.toArray()
     else:
         values = abs(last.coefficients.toArray())
@@ -423,6 +460,13 @@ def explain_linear(model: PipelineModel, df: DataFrame, spec: FeatureSpec, id_:
     return prepared.withColumn("m", means).select(id_, F.explode(cells).alias("c")).select(id_, "c.*")
 
 
+def explain_rows(model: PipelineModel, df: DataFrame, spec: FeatureSpec, id_: str) -> DataFrame:
+    """Contribution of every encoded feature to every row, for linear models and trees alike."""
+    if hasattr(model.stages[-1], "coefficients"):
+        return explain_linear(model, df, spec, id_)
+    return explain_trees(model, df, encoded_names(model, spec), id_)
+
+
 def top_features(contributions: DataFrame) -> DataFrame:
     """Features by mean absolute contribution, the most impactful first."""
     return contributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("impact")).orderBy(F.col("impact").desc(), "feature")
