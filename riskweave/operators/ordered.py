@@ -176,43 +176,6 @@ def _calendar_levels(df: DataFrame, ts: str) -> list[Column]:
     return [F.floor(F.col(ts) / F.lit(86400)), F.floor(F.col(ts))]
 
 
-def following_many(df: DataFrame, id_: str, vector: str, along: str, k: int) -> DataFrame:
-    """Pairs of each row with the k rows before and after it along a direction.
-
-    Rows are cut into ranges of about equal size; the last and first k rows of
-    neighbouring ranges are shared, so ranges need no common order.
-    """
-    rows = df.select(id_, vector, along)
-    # rank gives equal ranges whatever the distribution of the projection
-    low, high = F.min(along).alias("lo"), F.max(along).alias("hi")
-    span = rows.agg(F.struct(low, high)).scalar()
-    unit = rows.withColumn("_s", span)
-    width = F.col("_s.hi") - F.col("_s.lo")
-    unit = unit.withColumn("_u", F.when(width > 0, (F.col(along) - F.col("_s.lo")) / width).otherwise(F.lit(0.0))).drop("_s")
-    ranked = unit.withColumn("_digest", seeded_digest(id_, "along"))
-    ranked = running_totals(
-        ranked, {"_rank": F.lit(1).cast("bigint")},
-        [*unit_levels(F.col("_u")), F.col("_u"), F.substring("_digest", 1, 2)], [F.col("_digest"), F.col(id_)],
-    )
-    chunk = 4096
-    home = F.floor((F.col("_rank") - 1) / F.lit(chunk))
-    inside = (F.col("_rank") - 1) % chunk
-    copies = F.filter(
-        F.array(
-            F.when(inside < k, F.struct((home - 1).alias("range"), F.lit(False).alias("own"))),
-            F.struct(home.alias("range"), F.lit(True).alias("own")),
-            F.when(inside >= chunk - k, F.struct((home + 1).alias("range"), F.lit(False).alias("own"))),
-        ),
-        lambda c: c.isNotNull(),
-    )
-    spread = ranked.select(id_, vector, "_rank", F.explode(copies).alias("c")).select(id_, vector, "_rank", "c.*")
-    order = Window.partitionBy("range").orderBy("_rank")
-    me = F.struct(F.col(id_).alias("neighbor"), F.col(vector).alias("neighbor_vector"))
-    near = F.array(*[F.lag(me, i).over(order) for i in range(1, k + 1)], *[F.lead(me, i).over(order) for i in range(1, k + 1)])
-    pairs = spread.withColumn("near", near).where("own").select(id_, F.col(vector).alias("vector"), F.explode("near").alias("n"))
-    return pairs.where(F.col("n").isNotNull()).select(id_, "vector", "n.*")
-
-
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], unit_range: bool = False
 ) -> DataFrame:

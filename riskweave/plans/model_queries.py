@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..operators import anomaly as AN
 from ..operators import attribution as AT
+from ..operators import neighbors as NB
 from ..operators import preparation as P
 from ..operators import scoring as SC
 from ..operators import training as TR
@@ -156,6 +157,18 @@ def _facts(df, **checks):
     return df.agg(F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in checks.items()])
 
 
+@query("nearest_minority", "txns", """WITH p AS (SELECT transaction_id AS id, transaction_amt::DOUBLE/100 AS a, hour(transaction_dt)::DOUBLE/24 AS b, (customer_id%6)::DOUBLE AS c FROM txns WHERE is_fraud=1),
+ d AS (SELECT p.id AS transaction_id, q.id AS neighbor, (p.a-q.a)*(p.a-q.a)+(p.b-q.b)*(p.b-q.b)+(p.c-q.c)*(p.c-q.c) AS d FROM p JOIN p q ON p.id<>q.id)
+ SELECT transaction_id, CAST(r AS INTEGER) AS place, round(d,9) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY d, neighbor) AS r FROM d) WHERE r<=5""")
+def nearest_minority(t):
+    """The five nearest frauds of each fraud; exact here, since they fit one leaf."""
+    points = t.txns().where("is_fraud = 1").select("transaction_id", F.array(
+        F.col("transaction_amt").cast("double") / 100, F.hour("transaction_dt").cast("double") / 24, (F.col("customer_id") % 6).cast("double")
+    ).alias("v"))
+    near = NB.nearest(points, "transaction_id", "v", P.NEIGHBORS).select("transaction_id", F.posexplode("near").alias("pos", "e"))
+    return near.select("transaction_id", (F.col("pos") + 1).cast("int").alias("place"), F.round("e.distance", 9).alias("distance"))
+
+
 @query("resample_smote", "txns", """WITH c AS (SELECT count(*) FILTER (WHERE is_fraud=0) AS n0, count(*) FILTER (WHERE is_fraud=1) AS n1 FROM txns)
  SELECT 0 AS is_fraud, false AS synthetic, n0 AS n, true AS inside FROM c UNION ALL SELECT 1, false, n1, true FROM c
  UNION ALL SELECT 1, true, CAST(floor(n0*0.25) AS BIGINT)-n1, true FROM c WHERE floor(n0*0.25)>n1""")
