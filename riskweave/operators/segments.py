@@ -43,16 +43,11 @@ def segment_rate_filled(
     return segment_rate(df.withColumn(segment, fill_text(segment)), segment, flag, value, min_n)
 
 
-def _overall() -> Column:
-    """Overall rate over the segment totals (one small row per segment)."""
-    everything = Window.partitionBy(F.lit(0))
-    return F.sum("events").over(everything).cast("double") / F.sum("n").over(everything).cast("double")
-
-
 def segment_vs_overall(df: DataFrame, segment: str, flag: str) -> DataFrame:
     """Segment rates tagged against the overall rate."""
-    out = df.groupBy(segment).agg(F.count(F.lit(1)).alias("n"), F.sum(flag).alias("events"))
-    out = out.withColumn("overall", _overall()).where(F.col(segment).isNotNull())
+    overall = df.agg(F.sum(flag).cast("double") / F.count(F.lit(1)).cast("double")).scalar()
+    out = df.where(F.col(segment).isNotNull()).groupBy(segment).agg(F.count(F.lit(1)).alias("n"), F.sum(flag).alias("events"))
+    out = out.withColumn("overall", overall)
     rate = F.col("events").cast("double") / F.col("n").cast("double")
     tag = (
         F.when(rate > F.col("overall") * ABOVE, F.lit("above"))
@@ -181,8 +176,9 @@ def vintage_rate(df: DataFrame, date: str, flag: str, min_n: int = MIN_COHORT) -
 
 def concentration(df: DataFrame, segment: str, value: str) -> DataFrame:
     """Sum per segment and its share of the whole."""
-    sums = df.where(F.col(segment).isNotNull()).groupBy(segment).agg(F.sum(value).cast("decimal(38,2)").alias("total"))
-    whole = F.sum("total").over(Window.partitionBy(F.lit(0)))
+    known = df.where(F.col(segment).isNotNull())
+    sums = known.groupBy(segment).agg(F.sum(value).cast("decimal(38,2)").alias("total"))
+    whole = known.agg(F.sum(value).cast("decimal(38,2)")).scalar()
     return sums.select(segment, "total", safe_divide("total", whole, None).alias("share"))
 
 

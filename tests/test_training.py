@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import anomaly as AN
+from riskweave.operators import neighbors as NB
 from riskweave.operators import preparation as P
 from riskweave.operators import training as TR
 
@@ -63,13 +64,49 @@ def test_neighbors_do_not_depend_on_partitions(spark):
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
 
 
-def test_projected_neighbors_are_near(spark):
-    df, m = points(spark)
-    got = P.nearest_minority(df.where("y = 1").select("id", "v"), "id", "v", probes=6).collect()
-    d = ((m[:, None] - m[None]) ** 2).sum(-1)
-    np.fill_diagonal(d, np.inf)
-    hits = sum(r["neighbor"] in set(np.argsort(d[r["id"]])[:5]) for r in got)
-    assert len(got) == 300 and hits / 300 > 0.8 and all(r["neighbor"] != r["id"] for r in got)
+def recall_of(spark, n, dims, **search):
+    """Share of true five nearest neighbours that are found, ties of distance counting; at most 400 points are looked up."""
+    x = np.random.default_rng(n + dims).normal(size=(n, dims))
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(x.tolist())], "id int, v array<double>").repartition(8)
+    got = {r["id"]: [e["neighbor"] for e in r["near"]] for r in NB.nearest(df, "id", "v", 5, **search).collect()}
+    asked = np.random.default_rng(1).choice(n, min(n, 400), replace=False)
+    hits = 0
+    for i in asked:
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        assert i not in got[i] and len(got[i]) == len(set(got[i])) == 5
+        hits += (d[got[i]] <= np.sort(d)[4]).sum()
+    assert len(got) == n
+    return hits / (5 * len(asked))
+
+
+@pytest.mark.parametrize("dims", [3, 20, 57])
+def test_neighbors_of_one_leaf_are_exact(spark, dims):
+    assert recall_of(spark, 400, dims) == recall_of(spark, 4000, dims) == 1.0
+
+
+@pytest.mark.parametrize("dims", [3, 20, 57])
+def test_recall_of_many_points(spark, dims):
+    assert recall_of(spark, 40_000, dims) >= 0.9
+
+
+def test_rounds_over_the_graph_mend_a_poor_forest(spark):
+    """Leaves far too small: one tree finds little, the rounds reach the target."""
+    assert recall_of(spark, 4000, 12, trees=2, leaf=256, recall=0.0) < 0.6
+    assert recall_of(spark, 4000, 12, trees=2, leaf=256) >= 0.9
+
+
+def test_equal_points_are_parted(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(3000)] + [(5000 + i, [float(i), 0.0]) for i in range(50)], "id int, v array<double>").repartition(4)
+    got = NB.nearest(df, "id", "v", 5, trees=3, leaf=128).collect()
+    assert len(got) == 3050 and all(len(r["near"]) == 5 for r in got)
+    assert all(e["distance"] == 0 for r in got if r["id"] < 3000 for e in r["near"])
+
+
+def test_few_points(spark):
+    df = spark.createDataFrame([(1, [0.0]), (2, [3.0])], "id int, v array<double>")
+    assert {(r["id"], r["near"][0]["neighbor"], r["near"][0]["distance"]) for r in NB.nearest(df, "id", "v", 5).collect()} == {(1, 2, 9.0), (2, 1, 9.0)}
+    assert NB.nearest(df.limit(1), "id", "v", 5).count() == 0
 
 
 def test_smote(spark):
