@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.arithmetic import mean
 from ..functions.rules import Scorecard
 from ..functions.validation import Rule, validate_rows
+from ..sources.committed import append_committed
 
 HISTOGRAM_BINS = 20
 
@@ -105,3 +106,8 @@ def prediction_log(scored: DataFrame, task: str, inference_ms: Column, at: Colum
         F.to_json("top_drivers").alias("top_drivers"), inference_ms.cast("int").alias("inference_ms"), "fallback",
         at.alias("created_at"),
     )
+
+
+def log_predictions(rows: DataFrame, table: str, run: str, batch: int | str = 0) -> bool:
+    """Appends rows of `prediction_log` to the monitoring table as one batch of a run; a batch counts once however often it is sent."""
+    return append_committed(rows, table, run, batch)

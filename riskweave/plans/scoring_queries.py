@@ -9,6 +9,8 @@ from ..functions.cleaning import fill_text
 from ..functions.validation import CHURN_RULES
 from ..operators import evaluation as E
 from ..operators import scoring as S
+from ..session import work_dir
+from ..sources.committed import read_committed
 from .cleaning_queries import REQUESTS, requests
 from .kpi_queries import TRAINING_SQL, training_table
 from .registry import query
@@ -253,6 +255,12 @@ def model_leaderboard(t):
   '["'||replace({CHURN_D},',','","')||'"]' AS top_drivers, CAST(customer_id%30 AS INTEGER) AS inference_ms, true AS fallback,
   TIMESTAMP '2024-01-01 00:00:00' AS created_at FROM subscribers""")
 def log_predictions(t):
+    """Appended in two batches, the second sent twice, and read back: every prediction once."""
     scored = S.score_rules(t.subscribers(), R.churn_card())
     at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return S.prediction_log(scored, "churn", F.col("customer_id") % 30, at)
+    table = work_dir(t.spark, "prediction-log")
+    made = S.prediction_log(scored, "churn", F.col("customer_id") % 30, at)
+    even = F.col("inference_ms") % 2 == 0
+    for batch, part in ((0, made.where(even)), (1, made.where(~even)), (1, made.where(~even))):
+        S.log_predictions(part, table, "nightly", batch)
+    return read_committed(t.spark, table, made.schema).drop("run_id", "batch")

@@ -133,13 +133,20 @@ def customer_features(t):
     return FS.customer_features(_customers(t), t.loans_core(), t.txns(), t.predictions(), ASOF[:10])
 
 
-@query("customer_features_90d", "loans txns predictions", "WITH " + LATEST_P.format(
-    where=f"WHERE transaction_dt>TIMESTAMP '{ASOF}'-INTERVAL 10 DAY AND transaction_dt<=TIMESTAMP '{ASOF}'") + FEATURES_SQL.format(asof=ASOF[:10]))
+# orders as card payments: their dates span years, so a window of 90 days leaves most of them out
+PAYMENTS = """txns AS (SELECT o_custkey AS customer_id, o_orderdate::TIMESTAMP AS transaction_dt, CAST(o_totalprice AS DECIMAL(12,2)) AS transaction_amt,
+ CAST(o_orderkey%29=0 AS INTEGER) AS is_fraud FROM orders)"""
+LATE = "1996-06-30"
+
+
+@query("customer_features_90d", "loans predictions", f"WITH {PAYMENTS}, " + LATEST_P.format(
+    where=f"WHERE transaction_dt>TIMESTAMP '{LATE}'-INTERVAL 90 DAY AND transaction_dt<=TIMESTAMP '{LATE}'") + FEATURES_SQL.format(asof=LATE))
 def customer_features_90d(t):
-    # the test events span 30 days, so the window is 10 days here (90 by default)
-    return FS.customer_features(
-        _customers(t), t.loans_core(), t.txns(), t.predictions(), ASOF[:10], window_days=10
+    payments = t.raw("orders").select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("timestamp_ntz").alias("transaction_dt"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("transaction_amt"), (F.col("o_orderkey") % 29 == 0).cast("int").alias("is_fraud"),
     )
+    return FS.customer_features(_customers(t), t.loans_core(), payments, t.predictions(), LATE, window_days=FS.WINDOW_DAYS)
 
 
 @query("join_customer_360", "loans txns predictions subscribers", "WITH " + LATEST_P.format(where="") + """
