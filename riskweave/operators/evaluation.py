@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arithmetic import mean, safe_divide
+from ..session import work_dir
 from .ordered import exact_quantiles, following, hashed_rank, running_totals, unit_levels
 
 # Costs, grids and clips of the evaluation.
@@ -109,12 +110,12 @@ def ks_statistic(df: DataFrame, y: str, score: str) -> DataFrame:
     return score_steps(df, y, score).agg(_ks())
 
 
-def ranking_metrics(df: DataFrame, y: str, score: str) -> DataFrame:
+def ranking_metrics(df: DataFrame, y: str, score: str, steps: DataFrame | None = None) -> DataFrame:
     """ROC-AUC, average precision and KS from one pass over the score counts."""
-    return score_steps(df, y, score).agg(_roc_auc(), _pr_auc(), _ks())
+    return (score_steps(df, y, score) if steps is None else steps).agg(_roc_auc(), _pr_auc(), _ks())
 
 
-def lift_at(df: DataFrame, y: str, score: str, id_: str, fraction: float = 0.1) -> DataFrame:
+def lift_at(df: DataFrame, y: str, score: str, id_: str, fraction: float = 0.1, steps: DataFrame | None = None) -> DataFrame:
     """Precision among the top fraction of scores over the base rate.
 
     Only the rows tied at the cut are ranked (in hash order of the id); whole
@@ -122,7 +123,7 @@ def lift_at(df: DataFrame, y: str, score: str, id_: str, fraction: float = 0.1)
     """
     before = F.col("cum_n") - F.col("n")
     size = F.greatest(F.lit(1), F.floor(F.col("cum_n_all") * F.lit(fraction)))
-    cut = score_steps(df, y, score).select("*", size.alias("size")).where(
+    cut = (score_steps(df, y, score) if steps is None else steps).select("*", size.alias("size")).where(
         (before < F.col("size")) & (F.col("size") <= F.col("cum_n"))
     )
     cut = cut.select(
@@ -281,12 +282,19 @@ def calibration_curve(df: DataFrame, y: str, score: str, bins: int = CALIBRATION
 
 
 def evaluate(df: DataFrame, y: str, score: str, id_: str, threshold: float) -> DataFrame:
-    """The whole metric set as one row."""
+    """The whole metric set as one row.
+
+    The running counts by score are written once and serve ranking metrics and lift.
+    """
     from .measures import one_row
 
+    path = work_dir(df.sparkSession, "score-steps")
+    made = score_steps(df, y, score)
+    made.write.parquet(path)
+    steps = df.sparkSession.read.schema(made.schema).parquet(path)
     return one_row(
         confusion_metrics(df, y, score, threshold),
-        ranking_metrics(df, y, score),
-        lift_at(df, y, score, id_),
+        ranking_metrics(df, y, score, steps),
+        lift_at(df, y, score, id_, steps=steps),
         brier_logloss(df, y, score),
     )

@@ -48,13 +48,20 @@ def ks_statistic(t):
 
 @query("evaluate_scores", "scores", f"""{STEPS},
  g2 AS (SELECT score, sum(y)::HUGEINT AS p, sum(1-y)::HUGEINT AS q FROM scores GROUP BY 1),
- c AS (SELECT *, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0)::HUGEINT AS below FROM g2)
- SELECT (SELECT sum(p*(2*below+q))::DOUBLE/(sum(p)::DOUBLE*sum(q)::DOUBLE*2) FROM c) AS roc_auc, round(sum(pos::DOUBLE/pp*(cp::DOUBLE/cn)),9) AS pr_auc,
-  greatest(max(cp::DOUBLE/pp-(cn-cp)::DOUBLE/(nn-pp)),0) AS ks, (SELECT count(*) FILTER (WHERE y=1 AND score>=0.5) FROM scores) AS tp,
-  (SELECT count(*) FILTER (WHERE y=0 AND score>=0.5) FROM scores) AS fp FROM st""")
+ c AS (SELECT *, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0)::HUGEINT AS below FROM g2),
+ auc AS (SELECT sum(p*(2*below+q))::DOUBLE/(sum(p)::DOUBLE*sum(q)::DOUBLE*2) AS roc_auc FROM c),
+ rk AS (SELECT round(sum(pos::DOUBLE/pp*(cp::DOUBLE/cn)),9) AS pr_auc, greatest(max(cp::DOUBLE/pp-(cn-cp)::DOUBLE/(nn-pp)),0) AS ks FROM st),
+ cf AS (SELECT *, (tp+tn)::DOUBLE/(tp+fp+tn+fn) AS accuracy, tp::DOUBLE/(tp+fp) AS precision, tp::DOUBLE/(tp+fn) AS recall,
+  (2*tp)::DOUBLE/(2*tp+fp+fn) AS f1, tn::DOUBLE/(tn+fp) AS specificity, (tp+fn)::DOUBLE/(tp+fp+tn+fn) AS base_rate FROM (
+  SELECT count(*) FILTER (WHERE y=1 AND score>=0.5) AS tp, count(*) FILTER (WHERE y=0 AND score>=0.5) AS fp,
+   count(*) FILTER (WHERE y=0 AND score<0.5) AS tn, count(*) FILTER (WHERE y=1 AND score<0.5) AS fn FROM scores)),
+ lf AS (SELECT (sum(CASE WHEN r<=greatest(1,floor(n*0.1)) THEN y END)::DOUBLE/count(*) FILTER (WHERE r<=greatest(1,floor(n*0.1))))/(sum(y)::DOUBLE/count(*)) AS lift
+  FROM (SELECT y, row_number() OVER (ORDER BY score DESC, md5(CAST(id AS VARCHAR)||'|tie'), id) AS r, count(*) OVER () AS n FROM scores)),
+ bl AS (SELECT round(avg((score-y)*(score-y)),9) AS brier, round(avg(-(y*ln(p)+(1-y)*ln(1-p))),9) AS log_loss FROM (SELECT *, least(greatest(score,1e-6),1-1e-6) AS p FROM scores))
+ SELECT * FROM auc, rk, cf, lf, bl""")
 def evaluate_scores(t):
     out = E.evaluate(t.scores(), "y", "score", "id", 0.5)
-    return out.select("roc_auc", F.round("pr_auc", 9).alias("pr_auc"), "ks", "tp", "fp")
+    return out.withColumns({c: F.round(c, 9) for c in ("pr_auc", "brier", "log_loss")})
 
 
 @query("lift_at", "scores", """

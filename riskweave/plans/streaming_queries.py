@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import work_dir
 from ..sources import read_json_messages
+from ..sources.committed import read_committed
 from ..streaming import transactions as X
 from ..streaming import velocity as V
 from .registry import query
@@ -96,7 +97,7 @@ def stream_dead_letters(t):
 @query("stream_insert_once", "stream_txns", "SELECT * FROM stream_txns")
 def stream_insert_once(t):
     good = X.accepted(X.decode(messages(t, duplicates=True)))
-    out = t.spark.read.parquet(finish(X.start_insert_once, good, t, "inserted"))
+    out = read_committed(t.spark, finish(X.start_insert_once, good, t, "inserted"), good.schema)
     return out.withColumn("transaction_ts", naive("transaction_ts")).select(*TXN_COLUMNS)
 
 

@@ -6,6 +6,7 @@ input alike unless they say otherwise; ``start_*`` helpers attach sinks.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cleaning import dedup_keys
 from ..operators.measures import stream_measures
+from ..sources.committed import append_committed, is_committed, read_committed
 from ..sources.schemas import CORRUPT, MESSAGE
 
 # Flush interval and window lengths of the monitoring views.
@@ -147,31 +149,31 @@ def latest_updates(df: DataFrame, keys: list[str]) -> DataFrame:
     return (df.groupBy(*keys).agg(newest) if keys else df.agg(newest)).select(*keys, "v.*")
 
 
-def insert_batch(target: str, key: str = "transaction_id") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer that inserts only unseen keys.
+def insert_batch(target: str, run: str, key: str = "transaction_id") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer that inserts only unseen keys, as committed appends of ``run``.
 
-    Earlier batches are read by their batch id, so a batch that is retried after
-    a failure is compared with the same rows and overwrites its own output.
+    A batch that is retried finds itself committed and writes nothing; one that failed was never
+    seen.  Batches of another run over the same target stand beside these, and their keys count as seen.
     Only the key column of the target is read, but all of it: exact for repeats
     of any age.  Where repeats are known to come within a delay, ``once_within``
-    needs no look at the target.
+    needs no look at the target.  Read the target with ``read_committed``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = dedup_keys(batch, [key], ["transaction_ts"])
-        if _exists(spark, target):
-            known = spark.read.parquet(target).where(F.col("batch_id") < batch_id).select(key)
-            fresh = fresh.join(known, key, "left_anti")
-        fresh.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(target)
+        if is_committed(spark, target, run, batch_id):
+            return
+        known = read_committed(spark, target, T.StructType([batch.schema[key]])).select(key)
+        fresh = dedup_keys(batch, [key], ["transaction_ts"]).join(known, key, "left_anti")
+        append_committed(fresh.select(*batch.columns), target, run, batch_id)
 
     return write
 
 
 def start_insert_once(txns: DataFrame, target: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    writer = txns.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(insert_batch(target))
+    """A checkpoint is a run: batch numbers of a new checkpoint do not meet those of an old one."""
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    writer = txns.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(insert_batch(target, run))
     return _triggered(writer, once).start()
 
 
@@ -186,11 +188,5 @@ def late_rows(read: DataFrame, windows: DataFrame) -> DataFrame:
     return held.select("ingested", (total - F.col("ingested")).alias("dropped"))
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-
-
 def _triggered(writer, once: bool):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)

@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from riskweave.sources import read_json_messages
+from riskweave.sources.committed import read_committed
 from riskweave.streaming import transactions as X
 from riskweave.streaming import velocity as V
 
@@ -26,6 +27,8 @@ def run(spark, folder, job, tmp_path, start=X.start_files, **kw):
     target = str(tmp_path / "out")
     q = start(job(source), target, str(tmp_path / "checkpoint"), once=True, **kw)
     q.awaitTermination()
+    if start is X.start_insert_once:
+        return read_committed(spark, target, source.schema), q
     return spark.read.parquet(target), q
 
 
@@ -46,14 +49,27 @@ def test_repeated_ids_inside_and_across_batches(spark, tmp_path):
     assert sorted(r["transaction_id"] for r in out.collect()) == ["t1", "t2", "t3"]
 
 
-def test_a_retried_batch_replaces_itself(spark, tmp_path):
+def test_a_retried_batch_counts_once(spark, tmp_path):
     target = str(tmp_path / "t")
-    write = X.insert_batch(target)
+    write = X.insert_batch(target, "first")
     rows = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01")], "transaction_id string, transaction_ts string")
     write(rows, 0)
     write(rows.limit(1), 1)
     write(rows, 0)
-    assert spark.read.parquet(target).count() == 2
+    assert read_committed(spark, target, rows.schema).count() == 2
+
+
+def test_a_new_checkpoint_keeps_stored_rows(spark, tmp_path):
+    """Batch numbers start anew with a checkpoint; what an earlier one stored stays, and its keys count as seen."""
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    put(folder, "a.json", [message(1), message(2)])
+    for checkpoint in ("one", "two"):
+        source = X.accepted(X.decode(read_json_messages(spark, str(folder), stream=True, per_trigger=1)))
+        X.start_insert_once(source, target, str(tmp_path / checkpoint), once=True).awaitTermination()
+        put(folder, "b.json", [message(2), message(3)])
+    got = read_committed(spark, target, source.schema)
+    assert sorted(r["transaction_id"] for r in got.collect()) == ["t1", "t2", "t3"]
+    assert got.select("run_id").distinct().count() == 2
 
 
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
