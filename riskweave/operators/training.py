@@ -17,7 +17,6 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +24,7 @@ from . import anomaly as AN
 from . import evaluation as E
 from .attribution import explain_trees
 from .boosting import HistogramBoosting, HistogramBoostingModel, fit_together
+from .isotonic import fit_isotonic
 from .ordered import exact_quantiles, hashed_rank
 from .preparation import FeatureSpec, class_counts, class_weights, column_modes, fold_count, kfold_stratified, resample_smote, resample_under, split_for_training
 
@@ -274,18 +274,13 @@ class Calibrator:
     def apply(self, df: DataFrame, score: str = "score") -> DataFrame:
         keep = [c for c in df.columns if c != score]
         if self.method == "isotonic":
-            out = self.model.transform(df.withColumn("features", F.col(score)))
-            return out.select(*keep, F.least(F.greatest("prediction", F.lit(0.0)), F.lit(1.0)).alias(score))
+            return df.select(*keep, self.model.predict(F.col(score)).alias(score))
         out = self.model.transform(df.withColumn("features", array_to_vector(F.array(_logit(score)))))
         return out.select(*keep, vector_to_array("probability")[1].alias(score))
 
 
 def _fit_isotonic(df: DataFrame, y: str, score: str) -> Calibrator:
-    # equal scores are merged with their count as weight before fitting
-    points = df.groupBy(F.col(score).alias("features")).agg(
-        F.avg(F.col(y).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
-    return Calibrator("isotonic", IsotonicRegression(weightCol="weight").fit(points))
+    return Calibrator("isotonic", fit_isotonic(df, y, score))
 
 
 def _fit_sigmoid(df: DataFrame, y: str, score: str) -> Calibrator:
