@@ -6,8 +6,10 @@ Instead each transaction becomes a few signed events - it enters, and leaves
 each window after its length - and a running sum over those events is the
 window content.  Keys are cut by time bucket (a bucket is at least as long as
 the longest window), with carry events for what is still live at the bucket
-start, so one card is spread over as many tasks as it has buckets.  One shuffle,
-one sort, linear time.
+start, so one card is spread over as many tasks as it has buckets.  Buckets are
+counted first, and those with too many events are cut into ranges of about equal
+count at sampled events, each range beginning with the sums of the ranges before
+it.  One shuffle and one sort of the rows, linear time.
 """
 
 from __future__ import annotations
@@ -18,11 +20,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import running_totals
+from ..session import work_dir
 
 MICROS = 1_000_000
 HOUR = 3600
 DAY = 86400
+#: Events of a key and bucket that one task orders, sampled events per range of a busier bucket,
+#: and splitters that may be broadcast.
+RANGE_EVENTS, RANGE_SAMPLES, BROADCAST_SPLITTERS = 200_000, 32, 50_000
 
 
 @dataclass(frozen=True)
@@ -58,7 +63,7 @@ def trailing_windows(
     scale: int = 2,
     lower_inclusive: bool = True,
     bucket_seconds: int | None = None,
-    grain_seconds: int | None = None,
+    range_events: int = RANGE_EVENTS,
 ) -> DataFrame:
     """Count, sum and population std over ``[t - w, t]`` per key.
 
@@ -67,13 +72,11 @@ def trailing_windows(
     null key or time get nulls.  Amounts are added as integers of ``scale``
     decimals, so sums are exact.  ``lower_inclusive=False`` gives ``(t - w, t]``.
 
-    ``grain_seconds`` cuts keys much finer than a bucket, for data where one key
-    has too many rows within one bucket: events are then totalled per day and
-    grain first (``running_totals``), at the price of further, smaller shuffles.
+    A key and bucket with more than ``range_events`` events is ordered by several
+    tasks; only rows alike in time and ``row_id`` always stay in one.  Buckets are
+    counted when the frame is built.
     """
     bucket = (bucket_seconds or max(w.seconds for w in windows)) * MICROS
-    if grain_seconds is not None and DAY % grain_seconds:
-        raise ValueError("a grain must divide a day")
     if bucket < max(w.seconds for w in windows) * MICROS:
         raise ValueError("a bucket must be at least as long as the longest window")
     unit = 10**scale
@@ -120,25 +123,23 @@ def trailing_windows(
         if w.std:
             sums[f"_q{i}"] = delta(i, F.col("_uu")).cast("decimal(38,0)")
     needed = F.lit(False)
-    if grain_seconds is None:
-        for flag in spill:
-            needed = needed | flag
+    for flag in spill:
+        needed = needed | flag
+    # carries and leaves of one moment have no order of their own: a hash spreads them over ranges
+    tie = F.when(kind == 1, F.lit(0).cast("bigint")).otherwise(F.xxhash64(*row_id, F.col("_t"), kind))
     events = events.where((kind != 0) | needed).select(
         F.col(key).alias("_key"),
         at.alias("_at"),
         "_kind",
         *[F.when(kind == 1, F.col(c)).alias(c) for c in columns],
         *[c.alias(n) for n, c in sums.items()],
-    )
+        tie.alias("_tie"),
+    ).withColumn("_bucket", F.expr(_bucket_sql(bucket, "_at")))
     order = [F.col("_at"), F.least("_kind", F.lit(2)), *[F.col(c) for c in row_id]]
-    if grain_seconds is None:
-        events = events.withColumn("_bucket", F.expr(_bucket_sql(bucket, "_at")))
-        running = Window.partitionBy("_key", "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        events = events.select(*columns, "_kind", *[F.sum(n).over(running).alias(n) for n in sums])
-    else:
-        levels = [F.expr(_bucket_sql(size, "_at")) for size in (DAY * MICROS, grain_seconds * MICROS)]
-        deltas = events.withColumnsRenamed({n: f"{n}_d" for n in sums})
-        events = running_totals(deltas, {n: f"{n}_d" for n in sums}, levels, order, ["_key"])
+    cell = ["_key", "_bucket"]
+    events = _with_ranges(events, cell, F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*order, F.col("_tie")])]), list(sums), range_events)
+    running = Window.partitionBy(*cell, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    events = events.select(*columns, "_kind", *[F.sum(n).over(running).alias(n) for n in sums])
     events = events.where(F.col("_kind") == 1)
 
     features: list[tuple[str, Column, str]] = []
@@ -157,6 +158,48 @@ def trailing_windows(
     return done.unionByName(rest)
 
 
+def _with_ranges(events: DataFrame, cell: Sequence[str], order: Column, sums: Sequence[str], range_events: int) -> DataFrame:
+    """Add ``_range``, the place of an event's range in its cell, and an event without time
+    at the head of each later range that holds the sums of the ranges before."""
+    table = work_dir(events.sparkSession, "velocity-ranges")
+    busy = events.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > range_events)
+    busy.write.parquet(f"{table}/busy")
+    busy = events.sparkSession.read.parquet(f"{table}/busy")
+    cells, rows = busy.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    if not cells:
+        return events.withColumn("_range", F.lit(0))
+    # every cell holds more than range_events events, so there are at most this many ranges
+    ranges = rows // range_events + cells
+
+    def beside(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if ranges <= BROADCAST_SPLITTERS else table
+
+    share = F.ceil(F.col("_n") / range_events) * RANGE_SAMPLES / F.col("_n")
+    drawn = events.select(*cell, order.alias("_o"), F.xxhash64(order).alias("_h")).join(beside(busy), list(cell))
+    drawn = drawn.where(F.pmod("_h", F.lit(1 << 30)) < share * F.lit(1 << 30))
+    every = F.expr(f"sequence({RANGE_SAMPLES}, greatest(size(_s), {RANGE_SAMPLES}), {RANGE_SAMPLES})")
+    cuts = drawn.groupBy(*cell).agg(F.sort_array(F.collect_list("_o")).alias("_s"))
+    cuts = cuts.select(*cell, F.filter(F.transform(every, lambda i: F.get("_s", i - 1)), lambda c: c.isNotNull()).alias("_cuts"))
+    cuts = cuts.where(F.size("_cuts") > 0)
+    # two steps, so that an event is compared with about twice the root of the cuts
+    cuts = cuts.withColumn("_step", F.ceil(F.sqrt(F.size("_cuts"))).cast("int"))
+    cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda c, i: i % F.col("_step") == F.col("_step") - 1))
+    cuts.write.parquet(f"{table}/cuts")
+    cuts = events.sparkSession.read.parquet(f"{table}/cuts")
+
+    placed = events.withColumn("_o", order).join(beside(cuts), list(cell), "left")
+    coarse = F.size(F.filter("_coarse", lambda c: c < F.col("_o"))) * F.col("_step")
+    fine = F.size(F.filter(F.slice("_cuts", F.col("_from") + 1, F.col("_step")), lambda c: c < F.col("_o")))
+    placed = placed.withColumn("_from", coarse).withColumn("_range", F.when(F.col("_cuts").isNull(), 0).otherwise(F.col("_from") + fine))
+    placed = placed.select(*events.columns, "_range", F.col("_cuts").isNotNull().alias("_cut"))
+
+    before = Window.partitionBy(*cell).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.where("_cut").groupBy(*cell, "_range").agg(*[F.sum(n).alias(n) for n in sums])
+    types = {f.name: f.dataType for f in events.schema.fields}
+    heads = totals.select(*cell, "_range", *[F.sum(n).over(before).cast(types[n]).alias(n) for n in sums]).where("_range > 0")
+    return placed.drop("_cut").unionByName(heads.withColumn("_kind", F.lit(-1)), allowMissingColumns=True)
+
+
 def _bucket_sql(bucket: int, column: str = "_t") -> str:
     """Floor division (``div`` truncates towards zero)."""
     return f"({column} div {bucket} - if({column} % {bucket} < 0, 1, 0))"

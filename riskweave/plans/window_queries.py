@@ -61,8 +61,8 @@ def velocity_window_ties(t):
 @query("velocity_window_dense", "txns", velocity_sql(CARD_ROWS, "(b.ts<a.ts OR b.rid<=a.rid)", "ts IS NOT NULL") + f"""
  SELECT r.rid, {VELOCITY_OUT} FROM rows_ r LEFT JOIN agg USING (rid)""")
 def velocity_window_dense(t):
-    """The same windows cut by quarter hours, for cards too busy for one task a day."""
-    out = V.trailing_windows(card_rows(t), "card1", V.micros_of(F.col("ts")), ["rid"], "amt", grain_seconds=900)
+    """The same windows with every card and day of more than 64 events cut into ranges."""
+    out = V.trailing_windows(card_rows(t), "card1", V.micros_of(F.col("ts")), ["rid"], "amt", range_events=64)
     return out.select("rid", *V.VELOCITY_COLUMNS)
 
 

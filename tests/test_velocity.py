@@ -94,9 +94,34 @@ def test_bucket_length_changes_nothing(spark):
         for b in (86_400, 100_000, 10**9)
     ]
     assert frames[0] == frames[1] == frames[2]
-    for grain in (60, 3600):
-        fine = V.trailing_windows(df, "card1", F.col("t") * 1_000_000, ["rid"], "amt", grain_seconds=grain).orderBy("rid").collect()
-        assert fine == frames[0]
+
+
+@pytest.mark.parametrize("broadcast", [0, 10**6])
+def test_busy_buckets_are_cut(spark, monkeypatch, broadcast):
+    """One card holds most rows, a third of them at one moment; ranges of 10 events give what one task gives."""
+    monkeypatch.setattr(V, "BROADCAST_SPLITTERS", broadcast)
+    monkeypatch.setattr(V, "RANGE_SAMPLES", 4)
+    rng = random.Random(6)
+    moments = [rng.choice([90_000, rng.randint(0, 300_000), rng.randint(80_000, 95_000)]) for _ in range(900)]
+    rows = [(i, 1 if rng.random() < 0.8 else rng.randint(2, 4), t, round(rng.uniform(0, 90), 2)) for i, t in enumerate(moments)]
+    df = spark.createDataFrame(rows, "rid int, card1 int, t long, amt double")
+    whole, cut = (
+        V.trailing_windows(df, "card1", F.col("t") * 1_000_000, ["rid"], "amt", range_events=n) for n in (10**9, 10)
+    )
+    assert cut.orderBy("rid").collect() == whole.orderBy("rid").collect()
+
+
+def test_ranges_are_even(spark):
+    """A busy bucket is spread: no range holds a large share of its events, also where all share one moment."""
+    df = spark.range(4_000).select(
+        F.lit("k").alias("_key"), F.lit(0).alias("_bucket"), F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(0).alias("_at"),
+        (F.col("id") % 2 + 1).cast("int").alias("_kind"), F.xxhash64("id").alias("_tie"), F.lit(1).cast("long").alias("_n0"),
+    )
+    out = V._with_ranges(df, ["_key", "_bucket"], F.struct("_at", "_tie"), ["_n0"], 200)
+    sizes = [r["count"] for r in out.where("_kind > 0").groupBy("_range").count().collect()]
+    assert sum(sizes) == 4_000 and len(sizes) >= 15 and max(sizes) < 600
+    heads = {r["_range"]: r["_n0"] for r in out.where("_kind < 0").collect()}
+    assert len(heads) == len(sizes) - 1 and max(heads.values()) < 4_000
 
 
 def test_cutoff_keeps_earlier_values(spark):
