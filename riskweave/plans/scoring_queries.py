@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.cleaning import fill_text
-from ..functions.validation import CHURN_RULES
+from ..functions.validation import CHURN_RULES, CUSTOMER_RULES, DEFAULT_RULES, FRAUD_RULES, validate_rows
 from ..operators import evaluation as E
 from ..operators import scoring as S
 from ..session import work_dir
@@ -243,6 +243,137 @@ def score_batch_summary(t):
     return out.withColumn("mean_probability", F.round("mean_probability", 9))
 
 
+def checks_sql(checks):
+    """The list of broken rules: (field, fault, condition) in rule order."""
+    faults = ", ".join(f"CASE WHEN {cond} THEN '{field}: {fault}' END" for field, fault, cond in checks)
+    return f"list_filter([{faults}], lambda e: e IS NOT NULL) AS errors"
+
+
+def loan_batch(t):
+    """Default requests as text, some of them wrong."""
+    k = F.col("loan_id")
+    text = lambda c: F.col(c).cast("string")
+    return t.loans_core().select(
+        k.alias("request_id"),
+        F.when(k % 10 == 0, "299").when(k % 10 == 1, "abc").when(k % 10 != 2, text("credit_score")).alias("fico_score"),
+        F.when(k % 12 == 3, "-1").otherwise(text("dti")).alias("debt_ratio"),
+        F.when(k % 15 == 4, "0").otherwise(text("loan_amount")).alias("loan_amount"),
+        F.when(k % 20 == 5, "AB").when(k % 20 == 6, "").otherwise(F.col("grade")).alias("grade"),
+        F.when(k % 18 == 7, "51").alias("emp_length"), F.when(k % 21 == 8, F.repeat(F.lit("p"), 101)).alias("purpose"),
+    )
+
+
+LOAN_BATCH = f"""requests AS (SELECT loan_id AS request_id,
+  CASE WHEN loan_id%10=0 THEN '299' WHEN loan_id%10=1 THEN 'abc' WHEN loan_id%10<>2 THEN CAST(credit_score AS VARCHAR) END AS fico_score,
+  CASE WHEN loan_id%12=3 THEN '-1' ELSE CAST(dti AS VARCHAR) END AS debt_ratio,
+  CASE WHEN loan_id%15=4 THEN '0' ELSE CAST(loan_amount AS VARCHAR) END AS loan_amount,
+  CASE WHEN loan_id%20=5 THEN 'AB' WHEN loan_id%20=6 THEN '' ELSE grade END AS grade,
+  CASE WHEN loan_id%18=7 THEN '51' END AS emp_length, CASE WHEN loan_id%21=8 THEN repeat('p',101) END AS purpose FROM loans),
+ checked AS (SELECT request_id, TRY_CAST(fico_score AS INTEGER) AS fico_score, TRY_CAST(debt_ratio AS DOUBLE) AS debt_ratio,
+   TRY_CAST(loan_amount AS DOUBLE) AS loan_amount, grade, {checks_sql([
+    ("fico_score", "missing", "fico_score IS NULL"), ("fico_score", "not a number", "fico_score IS NOT NULL AND TRY_CAST(fico_score AS INTEGER) IS NULL"),
+    ("fico_score", "too small", "TRY_CAST(fico_score AS INTEGER)<300"), ("fico_score", "too large", "TRY_CAST(fico_score AS INTEGER)>900"),
+    ("debt_ratio", "missing", "debt_ratio IS NULL"), ("debt_ratio", "too small", "TRY_CAST(debt_ratio AS DOUBLE)<0"),
+    ("loan_amount", "missing", "loan_amount IS NULL"), ("loan_amount", "too small", "TRY_CAST(loan_amount AS DOUBLE)<=0"),
+    ("grade", "too long", "length(grade)>1"), ("grade", "too short", "length(grade)<1"), ("purpose", "too long", "length(purpose)>100"),
+    ("emp_length", "too large", "TRY_CAST(emp_length AS DOUBLE)>50")])} FROM requests),
+ scored AS (SELECT request_id, errors, CASE WHEN len(errors)=0 THEN {DEFAULT_P} END AS probability FROM checked)"""
+
+
+def _batch(t, rows, card, rules):
+    out = S.score_batch(rows, card, rules)
+    return out.select("request_id", "probability", "prediction", F.array_join("errors", "; ").alias("errors"))
+
+
+@query("score_batch_default", "loans", f"""WITH {LOAN_BATCH}
+ SELECT request_id, probability, CASE WHEN probability>=0.5 THEN 'Likely Default' WHEN probability<0.5 THEN 'Likely Performing' END AS prediction,
+  array_to_string(errors,'; ') AS errors FROM scored""")
+def score_batch_default(t):
+    return _batch(t, loan_batch(t), R.default_card(), DEFAULT_RULES)
+
+
+def fraud_batch(t):
+    """Fraud requests as text, some of them wrong."""
+    k = F.col("transaction_id")
+    return fraud_requests(t).select(
+        k.alias("request_id"),
+        F.when(k % 10 == 0, "0").when(k % 10 == 1, "x").when(k % 10 != 2, F.col("transaction_amt").cast("string")).alias("transaction_amt"),
+        F.when(k % 14 == 5, F.repeat(F.lit("d"), 51)).otherwise(F.col("device_type")).alias("device_type"),
+        F.when(k % 12 == 3, F.repeat(F.lit("m"), 101)).otherwise(F.col("email_domain")).alias("email_domain"), "card_type",
+        F.when(k % 9 == 4, "-1").when(k % 9 == 5, "many").alias("txn_cnt_1h"),
+    )
+
+
+FRAUD_BATCH = f"""requests AS (SELECT transaction_id AS request_id,
+  CASE WHEN transaction_id%10=0 THEN '0' WHEN transaction_id%10=1 THEN 'x' WHEN transaction_id%10<>2 THEN CAST(transaction_amt AS VARCHAR) END AS transaction_amt,
+  CASE WHEN transaction_id%14=5 THEN repeat('d',51) ELSE device_type END AS device_type,
+  CASE WHEN transaction_id%12=3 THEN repeat('m',101) ELSE email_domain END AS email_domain, card_type,
+  CASE WHEN transaction_id%9=4 THEN '-1' WHEN transaction_id%9=5 THEN 'many' END AS txn_cnt_1h FROM {FRAUD_REQ}),
+ checked AS (SELECT request_id, TRY_CAST(transaction_amt AS DOUBLE) AS transaction_amt, device_type, email_domain, card_type, {checks_sql([
+    ("transaction_amt", "missing", "transaction_amt IS NULL"),
+    ("transaction_amt", "not a number", "transaction_amt IS NOT NULL AND TRY_CAST(transaction_amt AS DOUBLE) IS NULL"),
+    ("transaction_amt", "too small", "TRY_CAST(transaction_amt AS DOUBLE)<=0"),
+    ("device_type", "too long", "length(device_type)>50"), ("email_domain", "too long", "length(email_domain)>100"),
+    ("txn_cnt_1h", "not a number", "txn_cnt_1h IS NOT NULL AND TRY_CAST(txn_cnt_1h AS DOUBLE) IS NULL"),
+    ("txn_cnt_1h", "too small", "TRY_CAST(txn_cnt_1h AS DOUBLE)<0")])} FROM requests),
+ scored AS (SELECT request_id, errors, CASE WHEN len(errors)=0 THEN {FRAUD_P} END AS probability FROM checked)"""
+
+
+@query("score_batch_fraud", "txns", f"""WITH {FRAUD_BATCH}
+ SELECT request_id, probability, CASE WHEN probability>=0.5 THEN 'Fraud' WHEN probability<0.5 THEN 'Legitimate' END AS prediction,
+  array_to_string(errors,'; ') AS errors FROM scored""")
+def score_batch_fraud(t):
+    return _batch(t, fraud_batch(t), R.fraud_card(), FRAUD_RULES)
+
+
+@query("score_batch_tasks", "loans txns", f"""
+ SELECT 'default' AS task, * FROM (WITH {LOAN_BATCH}
+  SELECT count(*) AS total, count(probability) AS success, count(*)-count(probability) AS failed, round(avg(probability),9) AS mean_probability FROM scored)
+ UNION ALL SELECT 'fraud', * FROM (WITH {FRAUD_BATCH}
+  SELECT count(*), count(probability), count(*)-count(probability), round(avg(probability),9) FROM scored)""")
+def score_batch_tasks(t):
+    """Totals of a default file and a fraud file."""
+    parts = [("default", loan_batch(t), R.default_card(), DEFAULT_RULES), ("fraud", fraud_batch(t), R.fraud_card(), FRAUD_RULES)]
+    made = [S.batch_summary(S.score_batch(rows, card, rules)).select(F.lit(task).alias("task"), "*") for task, rows, card, rules in parts]
+    return made[0].unionByName(made[1]).withColumn("mean_probability", F.round("mean_probability", 9))
+
+
+def customer_requests(t):
+    """Customer records as text, some of them wrong."""
+    k = F.col("customer_id")
+    return t.subscribers().select(
+        k.alias("request_id"),
+        F.when(k % 30 != 5, F.get(F.array(*[F.lit(v) for v in ("lending", "fraud", "churn", "web")]), (k % 4).cast("int"))).alias("source_system"),
+        F.when(k % 25 != 7, F.concat(F.lit("C"), k.cast("string"))).alias("source_customer_id"),
+        F.when(k % 7 == 0, "121").when(k % 7 == 1, "old").otherwise((k % 80 + 18).cast("string")).alias("age"),
+        F.when(k % 11 == 2, "2000000000").otherwise((k * 10).cast("string")).alias("annual_income"),
+        F.get(F.array(*[F.lit(v) for v in ("RENT", "MORTGAGE", "OWN", "OTHER", "castle")]), (k % 5).cast("int")).alias("home_ownership"),
+        F.when(k % 13 == 0, "-2").otherwise(F.col("tenure").cast("string")).alias("tenure"),
+    )
+
+
+@query("validate_customers", "subscribers", f"""WITH requests AS (SELECT customer_id AS request_id,
+  CASE WHEN customer_id%30<>5 THEN ['lending','fraud','churn','web'][customer_id%4+1] END AS source_system,
+  CASE WHEN customer_id%25<>7 THEN 'C'||CAST(customer_id AS VARCHAR) END AS source_customer_id,
+  CASE WHEN customer_id%7=0 THEN '121' WHEN customer_id%7=1 THEN 'old' ELSE CAST(customer_id%80+18 AS VARCHAR) END AS age,
+  CASE WHEN customer_id%11=2 THEN '2000000000' ELSE CAST(customer_id*10 AS VARCHAR) END AS annual_income,
+  ['RENT','MORTGAGE','OWN','OTHER','castle'][customer_id%5+1] AS home_ownership,
+  CASE WHEN customer_id%13=0 THEN '-2' ELSE CAST(tenure AS VARCHAR) END AS tenure FROM subscribers),
+ checked AS (SELECT request_id, {checks_sql([
+    ("source_system", "missing", "source_system IS NULL"), ("source_system", "not allowed", "source_system NOT IN ('lending','fraud','churn')"),
+    ("source_customer_id", "missing", "source_customer_id IS NULL"),
+    ("age", "not a number", "age IS NOT NULL AND TRY_CAST(age AS INTEGER) IS NULL"), ("age", "too small", "TRY_CAST(age AS INTEGER)<0"),
+    ("age", "too large", "TRY_CAST(age AS INTEGER)>120"), ("annual_income", "too large", "TRY_CAST(annual_income AS DOUBLE)>1000000000"),
+    ("home_ownership", "not allowed", "home_ownership NOT IN ('RENT','MORTGAGE','OWN','OTHER')"),
+    ("tenure", "too small", "TRY_CAST(tenure AS INTEGER)<0")])} FROM requests)
+ SELECT request_id, array_to_string(errors,'; ') AS errors, len(errors)=0 AS accepted FROM checked""")
+def validate_customers(t):
+    """Which customer records are accepted, and what is wrong with the others."""
+    return validate_rows(customer_requests(t), CUSTOMER_RULES).select(
+        "request_id", F.array_join("errors", "; ").alias("errors"), (F.size("errors") == 0).alias("accepted")
+    )
+
+
 @query("score_histogram", "scores", """
  SELECT CAST(least(floor(score*20)+1,20) AS INTEGER) AS bin, count(*) AS n FROM scores GROUP BY 1""")
 def score_histogram(t):
