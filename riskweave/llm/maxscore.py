@@ -7,12 +7,16 @@ Essential postings are traversed, the others are probed, largest bound first, on
 for candidates that can still reach the threshold.  Each shard yields its best k
 per query, and shards are merged.
 
+Inner products are exact.  Vectors whose products 64 bits hold are scored in 64-bit integers;
+a query or candidate with a larger component goes the same way in Python integers.
+
 Candidates are dealt to shards by a hash of their id and queries go to all shards
 in blocks, so a task holds one shard and one block of bounded size.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -23,47 +27,56 @@ from pyspark.sql import functions as F
 SHARD, BLOCK = 8_192, 2_048
 #: Candidates scored in full to start the threshold; terms probed between two comparisons with it.
 START, PROBE = 64, 8
-#: Components are clamped to this after scaling, which keeps scores inside a long.
-CLAMP = 1 << 24
+#: Most digits of a score that is compared exactly between shards.
+DIGITS = 38
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """(vec_id, values) of the vectors that take part: floor(scale * x) of each component x.
+    """(vec_id, values) of the vectors that take part: scale * x of each component x, not yet floored.
 
     Vectors that are null or hold null or non-finite components, and rows without id, are
     left out.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    limit = float(CLAMP)
-    values = F.transform("v", lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(limit)), F.lit(-limit)).cast("long"))
+    values = F.transform("v", lambda x: x * scale)
     return rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fine).select("vec_id", values.alias("values"))
 
 
-def _matrix(lists: pd.Series, width: int) -> np.ndarray:
-    """Rows of integers; shorter vectors end in zeros."""
-    out = np.zeros((len(lists), width), np.int64)
+def _matrix(lists: pd.Series, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Floors of the rows as doubles, shorter vectors ending in zeros, and which rows fit 64-bit products."""
+    out = np.zeros((len(lists), width))
     for i, v in enumerate(lists):
         out[i, : len(v)] = v
-    return out
+    np.floor(out, out=out)
+    return out, np.abs(out).max(1) <= np.sqrt(2.0**60 / width)
+
+
+def _integers(floors: np.ndarray, fit: bool) -> np.ndarray:
+    if fit:
+        return floors.astype(np.int64)
+    exact = np.empty(floors.shape, object)
+    exact.flat = [int(x) for x in floors.flat]
+    return exact
 
 
 def shard_top(ids: np.ndarray, matrix: np.ndarray, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of a query's best k in one shard, ids ascending within a score.
 
-    `ids` ascend.  Rows of the query's own id are no candidates.
+    `ids` ascend.  Rows of the query's own id are no candidates.  Numbers are 64-bit or,
+    as objects, Python integers.
     """
     others = ids != query_id
     low = np.where(query >= 0, query * matrix.min(0), query * matrix.max(0))
     high = np.where(query >= 0, query * matrix.max(0), query * matrix.min(0))
     bounds = high - low
     order = np.argsort(-bounds, kind="stable")
-    left = np.concatenate([np.cumsum(bounds[order][::-1])[::-1], [0]])  # most that terms from here on can add
+    left = np.append(np.cumsum(bounds[order][::-1])[::-1], 0)  # most that terms from here on can add
     base = int(low.sum())
     first = np.flatnonzero(others[: START + 1])[:START]
     threshold = None
     if len(first) >= k:
-        threshold = np.partition(matrix[first] @ query, -k)[-k]
+        threshold = _kth(matrix[first] @ query, k)
     # Terms are essential up to the first place from where all others together stay under the threshold.
     essential = len(order) if threshold is None else int(np.searchsorted(-(base + left), -threshold, "right"))
     essential = min(max(essential, 1), len(order))
@@ -79,23 +92,46 @@ def shard_top(ids: np.ndarray, matrix: np.ndarray, query_id: int, query: np.ndar
         sums = sums + matrix[np.ix_(alive, terms)] @ query[terms] - int(low[terms].sum())
         at += PROBE
         if len(sums) >= k:  # sums are lower bounds of scores
-            now = np.partition(sums, -k)[-k]
+            now = _kth(sums, k)
             threshold = now if threshold is None else max(threshold, now)
-    best = np.lexsort((alive, -sums))[:k]
+    best = np.argsort(-sums, kind="stable")[:k]  # alive ascends
     return ids[alive[best]], sums[best]
 
 
+def _kth(scores: np.ndarray, k: int):
+    """The k-th largest."""
+    return np.sort(scores)[-k] if scores.dtype == object else np.partition(scores, -k)[-k]
+
+
+_FOUND = f"query_id long, vec_id long, score long, wide decimal({DIGITS},0)"
+
+
+def _row(query_id: int, vec: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
+    """Scores that no long holds are null and stand in `wide`, ended at its digits."""
+    if scores.dtype != object:
+        return pd.DataFrame({"query_id": query_id, "vec_id": vec, "score": scores, "wide": None})
+    fits, most = [-(2**63) <= x < 2**63 for x in scores], 10**DIGITS - 1
+    short = pd.array([x if f else None for x, f in zip(scores, fits)], "Int64")
+    wide = [None if f else Decimal(max(min(x, most), -most)) for x, f in zip(scores, fits)]
+    return pd.DataFrame({"query_id": query_id, "vec_id": vec, "score": short, "wide": pd.Series(wide, dtype=object)})
+
+
 def _search(k: int):
     def run(keys: tuple, candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(candidates) and len(queries):
             width = max(candidates["values"].map(len).max(), queries["values"].map(len).max(), 1)
             candidates = candidates.sort_values("vec_id", kind="stable")
-            ids, matrix = candidates["vec_id"].to_numpy(), _matrix(candidates["values"], width)
-            for query_id, query in zip(queries["query_id"], _matrix(queries["values"], width), strict=True):
-                vec, score = shard_top(ids, matrix, query_id, query, k)
-                found.append(pd.DataFrame({"query_id": query_id, "vec_id": vec, "score": score}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            ids, (floors, small) = candidates["vec_id"].to_numpy(), _matrix(candidates["values"], width)
+            asked, short = _matrix(queries["values"], width)
+            usual, outliers = _integers(floors[small], True), _integers(floors[~small], False)
+            whole = _integers(floors[small], False) if not short.all() and small.any() else None
+            for query_id, floor, fit in zip(queries["query_id"], asked, short, strict=True):
+                if small.any():
+                    found.append(_row(query_id, *shard_top(ids[small], usual if fit else whole, query_id, _integers(floor, fit), k)))
+                if not small.all():
+                    found.append(_row(query_id, *shard_top(ids[~small], outliers, query_id, _integers(floor, False), k)))
+        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "wide": []})
 
     return run
 
@@ -106,7 +142,8 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 5, scale: float = 256
     Queries are the rows for which `is_query` (on vec_id) holds; candidates all rows of other
     ids.  Ties go to the smaller vec_id; fewer candidates give fewer rows.  Vectors of unequal
     length compare as if the shorter ended in zeros.  Rows that repeat an id are one candidate
-    each; a query id that repeats searches once, with its greatest vector.
+    each; a query id that repeats searches once, with its greatest vector.  A score that no
+    long holds is null, but takes its place by its value (up to 38 digits).
     """
     usable = quantised(vectors, id_col, vec_col, scale)
     queries = usable.filter(is_query).groupBy("vec_id").agg(F.max("values").alias("values"))
@@ -119,6 +156,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 5, scale: float = 256
     here = usable.select("vec_id", "values", shard, every_block)
     asked = queries.select(F.col("vec_id").alias("query_id"), "values", block, every_shard)
     grouped = here.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
-    found = grouped.applyInPandas(_search(k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = grouped.applyInPandas(_search(k), _FOUND)
+    value = F.coalesce("wide", F.col("score").cast(f"decimal({DIGITS},0)"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(value.desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -182,6 +182,23 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert got == want
 
 
+def test_top_k_of_large_components(spark, monkeypatch):
+    """Components far beyond others, as queries and candidates, are neither clamped nor rounded."""
+    monkeypatch.setattr(maxscore, "START", 6)
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 8)]) for i in range(60)]
+    rows += [(50, [1e6, -0.3] + [0.25] * 6), (61, [1e6 + 0.5] * 8), (62, [-(10.0**9)] * 8), (100, [3e12, 1.0, -7e11, 0.0, 0.0, 2.5, 1e5, -1e6]), (63, [1e20] * 8)]
+    rows = [r for i, r in enumerate(rows) if r[0] != 50 or i >= 60]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in maxscore.top_k(df, F.col("vec_id") % 50 == 0).collect()}
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = {}
+    for q in (0, 50, 100):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], whole[c], strict=True)), c) for c in whole if c != q)[:5]
+        want |= {(q, k + 1): (c, -s if -(2**63) <= -s < 2**63 else None) for k, (s, c) in enumerate(best)}
+    assert got == want and None in {s for _, s in want.values()}
+
+
 def test_fewer_candidates_than_k(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in maxscore.top_k(df, F.col("vec_id") == 0).collect())
