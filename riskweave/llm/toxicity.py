@@ -66,6 +66,10 @@ class ToxicityModel:
             self._weights = WordWeights(self.table)
         return logistic(self.bias + math.log1p(sum(map(self._weights.__getitem__, tokens(text)))))
 
+    def forget(self) -> None:
+        """Frees the remembered words."""
+        self._weights = None
+
 
 class WordWeights(WordScores):
     """Weight of a word, remembered."""
@@ -156,15 +160,22 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, at: float = 0.5, id_c
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, at: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that score below `at`, with all their columns."""
+    """The rows of `docs` that score below `at`, with all their columns.
+
+    Only the text goes to Python, and one boolean comes back; a task forgets its words at its end.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_by_bytes(batches, text_col, 2 << 20):
-            fine = [shared.value.score(t) < at for t in raw_texts(batch.column(text_col))]
-            yield batch.filter(pa.array(fine, pa.bool_()))
+    @F.arrow_udf("boolean")
+    def fine(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for column in columns:
+                parts = batches_by_bytes(iter([pa.record_batch({"text": column})]), "text", 2 << 20)
+                yield pa.array([shared.value.score(t) < at for part in parts for t in raw_texts(part.column("text"))], pa.bool_())
+        finally:
+            shared.value.forget()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(fine(F.col(text_col).cast("string")))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, usable, label: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
