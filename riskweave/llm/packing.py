@@ -55,11 +55,6 @@ class WordEncoder:
         self.flat, self.begin, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.filled = self.known = 0
 
-    def forget(self) -> None:
-        """Frees the remembered words."""
-        self._forget()
-        self.parts = {}
-
     def _learn(self) -> None:
         """Encodes the words that turned up since the last call."""
         words, self.rows.fresh = self.rows.fresh, []
@@ -142,36 +137,33 @@ def _cut(path: str, size: int, end_id: int, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(path, remembered), TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
-        try:
-            for batch in batches_by_bytes(batches, "text", 4 << 20):
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                row, piece, length, crc = [], [], [], []
-                for at, ids in enumerate(encode(texts)):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for k, start in enumerate(range(0, len(ids), size)):
-                        own = ids[start : start + size]
-                        row.append(at)
-                        piece.append(k)
-                        length.append(len(own))
-                        crc.append(zlib.crc32(own.tobytes()))
-                rank = np.empty(len(row), np.int64)
-                for i, n in enumerate(length):
-                    rank[i] = seen[n]
-                    seen[n] += 1
-                pieces = np.array(piece, np.int32)
-                yield pa.record_batch(
-                    {
-                        "part": pa.array(np.full(len(row), part, np.int32)),
-                        "rank": pa.array(rank),
-                        "doc_id": batch.column("doc_id").take(pa.array(row, pa.int64())),
-                        "piece": pa.array(pieces),
-                        "start": pa.array(pieces.astype(np.int64) * size),
-                        "length": pa.array(length, pa.int64()),
-                        "ids_crc32": pa.array(crc, pa.int64()),
-                    }
-                )
-        finally:
-            encode.forget()  # the worker serves other tasks too
+        for batch in batches_by_bytes(batches, "text", 4 << 20):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            row, piece, length, crc = [], [], [], []
+            for at, ids in enumerate(encode(texts)):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                for k, start in enumerate(range(0, len(ids), size)):
+                    own = ids[start : start + size]
+                    row.append(at)
+                    piece.append(k)
+                    length.append(len(own))
+                    crc.append(zlib.crc32(own.tobytes()))
+            rank = np.empty(len(row), np.int64)
+            for i, n in enumerate(length):
+                rank[i] = seen[n]
+                seen[n] += 1
+            pieces = np.array(piece, np.int32)
+            yield pa.record_batch(
+                {
+                    "part": pa.array(np.full(len(row), part, np.int32)),
+                    "rank": pa.array(rank),
+                    "doc_id": batch.column("doc_id").take(pa.array(row, pa.int64())),
+                    "piece": pa.array(pieces),
+                    "start": pa.array(pieces.astype(np.int64) * size),
+                    "length": pa.array(length, pa.int64()),
+                    "ids_crc32": pa.array(crc, pa.int64()),
+                }
+            )
 
     return run
 
