@@ -28,7 +28,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_lines(table(spark, sf_dir, "documents"), similarity=0.8).drop("tie")
+    return near_lines(table(spark, sf_dir, "documents"), similarity=0.8).drop("tie", "copy")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

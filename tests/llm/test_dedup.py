@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -139,8 +140,9 @@ def variants(n, seed):
     return lines
 
 
-def test_large_buckets_are_cut(documents, links, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BUCKET", 8)
+def test_buckets_are_cut_into_blocks(documents, links, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    monkeypatch.setattr(line_dedup, "NEAREST", 1)
     rows = list(enumerate(variants(150, 4)))
     got = {(r.doc_id, r.line): (r.keep_doc_id, r.keep_line, r.group_size, r.kept) for r in line_dedup.near_lines(documents(rows)).collect()}
     assert got == brute_lines(rows, links)
@@ -156,14 +158,41 @@ def test_rare_shingles_find_all_pairs_and_few_others(spark):
     assert alike and len(found) < len(lines) ** 2 / 20
 
 
+def test_variants_below_the_bound_seldom_become_pairs(spark):
+    """2,000 lines of one template, each two about 0.77 alike: two million pairs share most shingles."""
+    rng = random.Random(6)
+    base = "the quick brown fox jumps over the lazy dog and runs far away from home until the night falls"
+    lines = [f"{base} {''.join(rng.choice('abcdefghijkl') for _ in range(13))}" for _ in range(2000)]
+    assert 0.7 < line_dedup.jaccard(line_dedup.shingles(lines[0]), line_dedup.shingles(lines[1])) < 0.8
+    texts = spark.createDataFrame(list(enumerate(lines)), "node long, content string")
+    assert line_dedup._rare_pairs(texts.selectExpr("node", "node AS `group`"), texts, 0.8).count() < 10 * len(lines)
+
+
+def test_nearest_lines_name_unfinished_bands(monkeypatch):
+    """Bands 1 and 3 touch the task's borders, band 2 is whole, and in it a line has more than one partner."""
+    sketch = np.zeros(line_dedup.BANDS * line_dedup.ROWS, np.uint8).tobytes()
+    rows = [(1, 1, 1), (1, 2, 2), (2, 3, 3), (2, 4, 4), (2, 5, 5), (3, 6, 6), (3, 7, 7), (4, 8, 8), (4, 9, 9)]
+    batches = [pa.record_batch([pa.array(c, t) for c, t in zip((*zip(*rows, strict=True), [sketch] * 9), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["band", "node", "group", "sketch"])]
+    for nearest, unfinished in ((1, {1, 2, 4}), (4, {1, 4})):
+        monkeypatch.setattr(line_dedup, "NEAREST", nearest)
+        out = pa.Table.from_batches(line_dedup._nearest(27)(iter(b.slice(i, 2) for b in batches for i in range(0, 9, 2)))).to_pylist()
+        assert {r["band"] for r in out if r["band"]} == unfinished
+        assert {(r["a"], r["b"]) for r in out if r["a"]} >= {(1, 2), (6, 7), (8, 9)}
+
+
+def test_of_repeated_rows_one_keeps_its_lines(documents):
+    rows = [(1, "one line of text"), (1, "one line of text"), (2, None), (2, None), (None, "a line of no id\nand more"), (None, "a line of no id\nand more")]
+    got = sorted((r.doc_id or 0, r.line, r.copy, r.group_size, r.kept) for r in line_dedup.near_lines(documents(rows)).collect())
+    assert got == [(0, 0, 1, 2, True), (0, 0, 2, 2, False), (0, 1, 1, 2, True), (0, 1, 2, 2, False), (1, 0, 1, 2, True), (1, 0, 2, 2, False)]
+    texts = [(r.doc_id, r.text) for r in line_dedup.drop_lines(documents(rows)).collect()]
+    assert sorted(texts, key=str) == sorted([(1, "one line of text"), (1, ""), (2, None), (2, None), (None, "a line of no id\nand more"), (None, "")], key=str)
+
+
 def test_a_line_alone_at_a_border_belongs_to_its_bucket(spark):
-    """Tasks hold 1 | 2, 3 | 4 of bucket 7, and nothing is like its first line."""
+    """Tasks hold 1 | 2, 3 | 4 of bucket 7."""
     stars = spark.createDataFrame([(7, 2, 3)], "band long, a long, b long")
     border = spark.createDataFrame([(7, 1, 2), (7, 1, 4)], "band long, a long, b long")
-    nothing = spark.createDataFrame([], "a long, b long")
-    assert sorted(tuple(r) for r in line_dedup._members(stars, border, nothing).collect()) == [(7, n, n) for n in (1, 2, 3, 4)]
-    like = spark.createDataFrame([(1, 4), (2, 3)], "a long, b long")
-    assert sorted(tuple(r) for r in line_dedup._members(stars, border, like).collect()) == [(7, 1, 1), (7, 2, 2), (7, 3, 2), (7, 4, 1)]
+    assert sorted(tuple(r) for r in line_dedup._bucket_rows(stars, border).collect()) == [(7, n) for n in (1, 2, 3, 4)]
 
 
 def test_drop_lines(documents, odd_corpus):
