@@ -151,7 +151,7 @@ def test_buckets_are_cut_into_blocks(documents, links, monkeypatch):
 def test_rare_shingles_find_all_pairs_and_few_others(spark):
     lines = sorted(set(variants(300, 5)))
     texts = spark.createDataFrame(list(enumerate(lines)), "node long, content string")
-    found = line_dedup._rare_pairs(texts.selectExpr("node", "node AS `group`"), texts, 0.8).distinct().collect()
+    found = line_dedup._rare_pairs(texts.selectExpr("node", "node AS `group`", "array(1) AS bands"), texts, 0.8).distinct().collect()
     sets = [line_dedup.shingles(x) for x in lines]
     alike = {(a, b) for a in range(len(lines)) for b in range(a) if line_dedup.jaccard(sets[a], sets[b]) >= 0.8}
     assert {tuple(sorted(p)) for p in alike} <= {(r.a, r.b) for r in found}
@@ -165,7 +165,7 @@ def test_variants_below_the_bound_seldom_become_pairs(spark):
     lines = [f"{base} {''.join(rng.choice('abcdefghijkl') for _ in range(13))}" for _ in range(2000)]
     assert 0.7 < line_dedup.jaccard(line_dedup.shingles(lines[0]), line_dedup.shingles(lines[1])) < 0.8
     texts = spark.createDataFrame(list(enumerate(lines)), "node long, content string")
-    assert line_dedup._rare_pairs(texts.selectExpr("node", "node AS `group`"), texts, 0.8).count() < 10 * len(lines)
+    assert line_dedup._rare_pairs(texts.selectExpr("node", "node AS `group`", "array(1) AS bands"), texts, 0.8).count() < 10 * len(lines)
 
 
 def test_nearest_lines_name_unfinished_bands(monkeypatch):
