@@ -231,13 +231,19 @@ def card_velocity(
 def request_rate_flag(
     df: DataFrame, key: str, ts: str, row_id: Sequence[str], limit: int = 100, seconds: int = 60
 ) -> DataFrame:
-    """Sliding-window request limit: flagged when the key already made ``limit``
-    requests in the ``seconds`` before (flagged requests count as well)."""
+    """Sliding-window request limit: flagged when the key made ``limit`` other requests in the
+    ``seconds`` up to its own moment (flagged requests count as well, and so do those of that
+    very moment, whatever their ids).
+
+    Requests are counted by key and moment first, so a busy moment is one row of the windows;
+    ``row_id`` stays for callers and has no part in the counts."""
+    at = df.select("*", micros_of(F.col(ts)).alias("_at_us"))
+    moments = at.groupBy(F.col(key).alias("_k"), F.col("_at_us").alias("_us")).agg(F.count(F.lit(1)).alias("_n"))
     counted = trailing_windows(
-        df, key, micros_of(F.col(ts)), row_id, windows=(Trailing(seconds, count="_live"),),
+        moments, "_k", F.col("_us"), ["_us"], "_n", (Trailing(seconds, total="_live"),), scale=0,
         lower_inclusive=False, bucket_seconds=max(seconds, HOUR),
-    )
-    return counted.select(
+    ).select("_k", "_us", F.col("_live").cast("bigint").alias("_live"))
+    return at.join(counted, (F.col(key) == F.col("_k")) & (F.col("_at_us") == F.col("_us")), "left").select(
         *df.columns,
         (F.col("_live") - 1).alias("prior_requests"),
         (F.col("_live") - 1 >= limit).alias("limited"),

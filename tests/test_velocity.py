@@ -146,3 +146,12 @@ def test_request_limit(spark):
     got = {r["id"]: r for r in V.request_rate_flag(df, "client", "ts", ["id"], limit=45).collect()}
     assert got[44]["prior_requests"] == 44 and not got[44]["limited"] and got[45]["limited"]
     assert got[99]["prior_requests"] == 49  # the request exactly 60 seconds before is outside
+
+
+def test_requests_of_one_moment_count_each_other(spark):
+    rows = [(1, "k", 0), (2, "k", 0), (3, "k", 0), (4, "k", 30), (5, "k", 60), (6, "other", 0), (7, None, 0), (8, "k", None)]
+    df = spark.createDataFrame(rows, "id int, client string, s int").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r["id"]: (r["prior_requests"], r["limited"]) for r in V.request_rate_flag(df, "client", "ts", ["id"], limit=2).collect()}
+    assert got[1] == got[2] == got[3] == (2, True)
+    assert got[4] == (3, True) and got[5] == (1, False) and got[6] == (0, False)
+    assert got[7] == got[8] == (None, None)
