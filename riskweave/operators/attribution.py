@@ -4,8 +4,9 @@ A tree answers for a set of known features by following the row where it knows t
 feature and both ways, by their shares of training rows, where it does not.  For one leaf
 this is a product over the features of its path, so the average over all orders of
 learning the features is a sum over set sizes: the product of (share + fits * t) over the path's
-features as a polynomial in t, with one factor divided out a feature.  All rows of a batch are
-worked at once; node tables are sent with the tasks and grow with the model only.
+features as a polynomial in t, with one factor divided out a feature.  A row enters it only by which
+of the path's features it fits, so short paths are worked out once for every such set and rows
+look their set up.  All rows of a batch are worked at once; node tables are sent with the tasks and grow with the model only.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from .boosting import HistogramBoostingModel, trees_of
 
 #: Rows that are worked at once.
 SLICE = 2048
+#: Features of a path up to which all sets of them are worked out at once, and leaves whose sets a task remembers (3 KB each).
+TABLE_FEATURES, TABLES = 6, 10_000
 
 
 @dataclass
@@ -78,11 +81,25 @@ def _leaves(t: Nodes, x: np.ndarray, node: int, here: np.ndarray) -> np.ndarray:
     return _leaves(t, x, t.left[node], here & left) + _leaves(t, x, t.right[node], here & ~left)
 
 
-def _add_leaf(out: np.ndarray, value: float, path: dict[int, tuple[float, np.ndarray]]) -> None:
+def _add_leaf(out: np.ndarray, value: float, path: dict[int, tuple[float, np.ndarray]], tables: dict[tuple[int, int], np.ndarray] | None = None, leaf: tuple[int, int] = (0, 0)) -> None:
     d = len(path)
     if not d or not value:
         return
     n = len(out)
+    if tables is not None and d <= TABLE_FEATURES:
+        table = tables.get(leaf)
+        if table is None:
+            sets = np.arange(2**d)
+            table = np.zeros((2**d, d))
+            _add_leaf(table, value, {i: (share, sets >> i & 1 == 1) for i, (share, _) in enumerate(path.values())})
+            if len(tables) < TABLES:
+                tables[leaf] = table
+        at = np.zeros(n, np.intp)
+        for i, (_, fits) in enumerate(path.values()):
+            at |= fits.astype(np.intp) << i
+        for i, feature in enumerate(path):
+            out[:, feature] += table[at, i]
+        return
     poly = np.zeros((d + 1, n))  # coefficient by set size
     poly[0] = 1.0
     for k, (share, fits) in enumerate(path.values()):
@@ -99,23 +116,27 @@ def _add_leaf(out: np.ndarray, value: float, path: dict[int, tuple[float, np.nda
         out[:, feature] += value * total * (fits - share)
 
 
-def shapley(model: TreeModel, x: np.ndarray) -> np.ndarray:
-    """Contribution of every feature to every row; with `expected` they add up to the margin."""
-    out = np.zeros(x.shape)
+def shapley(model: TreeModel, x: np.ndarray, tables: dict[tuple[int, int], np.ndarray] | None = None) -> np.ndarray:
+    """Contribution of every feature to every row; with `expected` they add up to the margin.
+
+    `tables`, empty at first, remembers the model's leaves (tree, node) from batch to batch.
+    """
+    out = np.zeros(x.shape[::-1]).T  # a feature's rows lie together
+    tables = {} if tables is None else tables
 
-    def walk(t: Nodes, node: int, path: dict[int, tuple[float, np.ndarray]]) -> None:
+    def walk(tree: int, t: Nodes, node: int, path: dict[int, tuple[float, np.ndarray]]) -> None:
         f = int(t.feature[node])
         if f < 0:
-            _add_leaf(out, float(t.value[node]), path)
+            _add_leaf(out, float(t.value[node]), path, tables, (tree, node))
             return
         left = t.goes_left(node, x)
         share, fits = path.get(f, (1.0, np.ones(len(x), bool)))
         for child, way in ((t.left[node], left), (t.right[node], ~left)):
-            walk(t, int(child), {**path, f: (share * t.share[child] / t.share[node], fits & way)})
+            walk(tree, t, int(child), {**path, f: (share * t.share[child] / t.share[node], fits & way)})
 
-    for t in model.trees:
-        walk(t, 0, {})
-    return out
+    for tree, t in enumerate(model.trees):
+        walk(tree, t, 0, {})
+    return np.ascontiguousarray(out)
 
 
 # ---------------------------------------------------------------- models
@@ -176,11 +197,12 @@ def contributions(model: TreeModel, rows: DataFrame, id_: str, vector: str) -> D
     schema = held.select(id_, F.col("_v").alias("contributions")).schema
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[tuple[int, int], np.ndarray] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
                 x = batch.column("_v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                yield pa.record_batch({id_: batch.column(id_), "contributions": pa.array(list(shapley(model, x)), pa.list_(pa.float64()))})
+                yield pa.record_batch({id_: batch.column(id_), "contributions": pa.array(list(shapley(model, x, tables)), pa.list_(pa.float64()))})
 
     return held.mapInArrow(step, schema)
 
@@ -190,7 +212,8 @@ def explain_trees(model: PipelineModel, df: DataFrame, names: list[str], id_: st
 
     With the expected margin of the model (`tree_model(...).expected()`) they add up to the row's margin.
     """
-    prepared = PipelineModel(stages=model.stages[:-1]).transform(df).select(id_, vector_to_array("features").alias("v"))
+    # dealt out, as the work of a row is far more than reading it
+    prepared = PipelineModel(stages=model.stages[:-1]).transform(df.repartition(id_)).select(id_, vector_to_array("features").alias("v"))
     found = contributions(tree_model(model.stages[-1], df.sparkSession), prepared, id_, "v")
     cells = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("contributions").alias("contribution"))
     return found.select(id_, F.explode(cells).alias("c")).select(id_, "c.feature", "c.contribution")
