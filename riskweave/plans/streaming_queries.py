@@ -34,6 +34,7 @@ def write_messages(t, duplicates: bool = False, bad: bool = False, flush: bool =
     k = F.substring_index("transaction_id", "-", -1).cast("bigint")
     span = rows.agg(F.min("transaction_ts").alias("lo"), F.max("transaction_ts").alias("hi")).first()
     step = (span["hi"] - span["lo"]) / SLICES
+    files = files_at_once(t)
     edges = [F.lit(span["lo"] + step * i).cast("timestamp_ntz") for i in range(SLICES)] + [F.lit(span["hi"]).cast("timestamp_ntz")]
     for i in range(SLICES):
         lo, hi = edges[i], edges[i + 1]
@@ -47,6 +48,8 @@ def write_messages(t, duplicates: bool = False, bad: bool = False, flush: bool =
         if bad:
             text = text.unionByName(mine.where(k % 10 == 0).select(F.concat(F.lit('{"transaction_id": "'), "transaction_id").alias("value")))
             text = text.unionByName(mine.where(k % 10 == 1).select(F.to_json(F.struct("transaction_id", "account_id")).alias("value")))
+        if late:  # a slice is a batch then, so that the late rows come in one of their own
+            text = text.repartition(files)
         text.write.mode("append").text(path)
     if late:
         early = rows.where(F.col("transaction_ts") < F.lit(span["lo"]).cast("timestamp_ntz") + F.expr("interval 5 days"))
@@ -60,8 +63,14 @@ def write_messages(t, duplicates: bool = False, bad: bool = False, flush: bool =
     return path
 
 
+def files_at_once(t) -> int:
+    """Files that the producers write at a time, one a partition of the events.  A batch takes so many
+    times more files as they are, so that the number of batches does not grow with the table."""
+    return max(1, t.stream_txns().rdd.getNumPartitions())
+
+
 def messages(t, **kind):
-    return read_json_messages(t.spark, write_messages(t, **kind), stream=True, per_trigger=2)
+    return read_json_messages(t.spark, write_messages(t, **kind), stream=True, per_trigger=2 * files_at_once(t))
 
 
 def finish(start, df, t, name: str, **kw) -> str:
@@ -195,6 +204,6 @@ def stream_late_rows(t):
     """The first five days are sent once more at the end, when the watermark is past them
     (rows are tested against the watermark of two batches before)."""
     path = write_messages(t, late=True)
-    windows = X.tumbling_minute(X.accepted(X.decode(read_json_messages(t.spark, path, stream=True, per_trigger=1))), delay=DELAY)
+    windows = X.tumbling_minute(X.accepted(X.decode(read_json_messages(t.spark, path, stream=True, per_trigger=files_at_once(t)))), delay=DELAY)
     log = X.latest_updates(t.spark.read.parquet(finish(X.start_updates, windows, t, "late")), ["minute_bucket"])
     return X.late_rows(X.accepted(X.decode(read_json_messages(t.spark, path))), log)

@@ -111,3 +111,20 @@ def test_velocity_with_disorder(spark, tmp_path):
     assert got["t1"]["txn_cnt_1h"] == 1 and got["t3"]["txn_cnt_1h"] == 2 and got["t2"]["txn_cnt_1h"] == 3
     assert got["t2"]["txn_amt_sum_24h"] == 100.0 and round(got["t2"]["txn_amt_std_24h"], 4) == 12.4722
     assert got["t4"]["txn_cnt_24h"] == 3 and got["t9"]["txn_cnt_24h"] == 1 and got["t4"]["txn_amt_sum_24h"] == 55.0
+
+
+def test_batches_do_not_grow_with_the_files_of_the_events(spark, tmp_path, monkeypatch):
+    """Events in several files are sent in as many more messages files, and a batch takes as many more."""
+    from riskweave.plans import streaming_queries as S
+    from riskweave.plans.domain import Tables
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    taken, read = [], S.read_json_messages
+    monkeypatch.setattr(S, "read_json_messages", lambda s, path, **kw: taken.append(kw.get("per_trigger")) or read(s, path, **kw))
+    got = S.stream_late_rows(Tables(spark, str(tmp_path))).first()
+    early = spark.read.parquet(str(tmp_path / "events.parquet"))
+    first = early.agg(F.min("ts")).first()[0]
+    assert taken[0] == 3 and got["ingested"] == early.count()
+    assert got["dropped"] == early.where(F.col("ts") < F.lit(first) + F.expr("interval 5 days")).count()
+    S.messages(Tables(spark, str(tmp_path)))
+    assert taken[-1] == 6
