@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 OUTPUT = "account_id string, transaction_id string, transaction_ts timestamp, txn_cnt_1h bigint, txn_cnt_24h bigint, " \
     "txn_amt_sum_24h double, txn_amt_std_24h double"
-ROW = "us bigint, transaction_id string, cents bigint, waiting boolean"
+# a state entry is a block of rows: one message to the state server whatever it holds
+BLOCK = "us binary, transaction_id array<string>, cents binary, waiting binary"
 HOUR_US, DAY_US = 3_600_000_000, 86_400_000_000
 
 
@@ -44,11 +45,27 @@ def _inside(us: np.ndarray, values: np.ndarray, span: int) -> np.ndarray:
     return out[:rows]
 
 
+def _packed(rows: pd.DataFrame) -> tuple:
+    return (
+        rows["us"].to_numpy(np.int64).tobytes(), rows["transaction_id"].tolist(), rows["cents"].to_numpy(np.int64).tobytes(),
+        rows["waiting"].to_numpy(bool).tobytes(),
+    )
+
+
+def _unpacked(blocks: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({
+        "us": np.concatenate([np.frombuffer(b[0], np.int64) for b in blocks]), "transaction_id": [i for b in blocks for i in b[1]],
+        "cents": np.concatenate([np.frombuffer(b[2], np.int64) for b in blocks]), "waiting": np.concatenate([np.frombuffer(b[3], bool) for b in blocks]),
+    })
+
+
 def window_features(us: np.ndarray, cents: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     """Counts, sum and std at the positions ``at`` of rows sorted by time."""
-    ones, exact = np.ones(len(us), np.int64), cents.astype(object)  # squares outgrow 64 bits
+    # n times the sum of squares may outgrow 64 bits
+    most = max(map(abs, (int(cents.max()), int(cents.min())))) if len(cents) else 0
+    ones, exact = np.ones(len(us), np.int64), cents if (most * len(cents)) ** 2 < 2**62 else cents.astype(object)
     n, s, q = (_inside(us, v, DAY_US)[at] for v in (ones, exact, exact * exact))
-    spread = (n.astype(object) * q - s * s).astype(float)
+    spread = (n.astype(exact.dtype) * q - s * s).astype(float)
     return {
         "txn_cnt_1h": _inside(us, ones, HOUR_US)[at], "txn_cnt_24h": n, "txn_amt_sum_24h": s.astype(float) / 100.0,
         "txn_amt_std_24h": np.sqrt(spread) / n / 100.0,
@@ -58,12 +75,12 @@ def window_features(us: np.ndarray, cents: np.ndarray, at: np.ndarray) -> dict[s
 class _Velocity(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", ROW)
+        self.rows = handle.getListState("rows", BLOCK)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         soonest = None
         for pdf in rows:
-            self.rows.appendList(list(zip(pdf["us"].tolist(), pdf["transaction_id"].tolist(), pdf["cents"].tolist(), [True] * len(pdf))))
+            self.rows.appendValue(_packed(pdf.assign(waiting=True)))
             first = int(pdf["us"].min())
             soonest = first if soonest is None else min(soonest, first)
         if soonest is not None:
@@ -72,7 +89,7 @@ class _Velocity(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         done = timerValues.getCurrentWatermarkInMs() * 1000  # rows before this are complete
-        held = pd.DataFrame([tuple(r) for r in self.rows.get()], columns=["us", "transaction_id", "cents", "waiting"])
+        held = _unpacked([tuple(r) for r in self.rows.get()])
         held = held.sort_values(["us", "transaction_id"], kind="stable").reset_index(drop=True)
         due = held["waiting"].to_numpy() & (held["us"].to_numpy() < done)
         at = np.flatnonzero(due)
@@ -88,7 +105,7 @@ class _Velocity(StatefulProcessor):
         # a later row lies at or after the watermark and looks back a day from there
         kept = held[held["waiting"] | (held["us"] >= done - DAY_US)]
         if len(kept):
-            self.rows.put(list(kept.itertuples(index=False, name=None)))
+            self.rows.put([_packed(kept)])
         else:
             self.rows.clear()
         waiting = kept.loc[kept["waiting"], "us"]

@@ -128,3 +128,15 @@ def test_batches_do_not_grow_with_the_files_of_the_events(spark, tmp_path, monke
     assert got["dropped"] == early.where(F.col("ts") < F.lit(first) + F.expr("interval 5 days")).count()
     S.messages(Tables(spark, str(tmp_path)))
     assert taken[-1] == 6
+
+
+def test_velocity_keeps_a_block_of_rows_in_an_entry_of_state():
+    import numpy as np
+    import pandas as pd
+
+    rows = pd.DataFrame({"us": [1, 2, 5], "transaction_id": ["a", "b", "ü"], "cents": [-3, 2**62, 0], "waiting": [True, False, True]})
+    back = V._unpacked([V._packed(rows.iloc[:2]), V._packed(rows.iloc[2:])])
+    assert back.to_dict("list") == rows.to_dict("list")
+    us = np.array([0, 1, 2])
+    small, big = (V.window_features(us, np.array(c, np.int64), np.array([2])) for c in ([100, 200, 600], [10**17, 2 * 10**17, 6 * 10**17]))
+    assert small["txn_amt_sum_24h"][0] == 9.0 and abs(big["txn_amt_std_24h"][0] / small["txn_amt_std_24h"][0] - 1e15) < 1.0
