@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from . import anomaly as AN
 from . import evaluation as E
 from .attribution import explain_trees
-from .boosting import HistogramBoosting, HistogramBoostingModel, fit_together
+from .boosting import PART_ROWS, HistogramBoosting, HistogramBoostingModel, fit_together
 from .isotonic import fit_isotonic
-from .ordered import exact_quantiles, hashed_rank
+from .ordered import exact_medians, hashed_rank
 from .preparation import FeatureSpec, class_counts, class_weights, column_modes, fold_count, kfold_stratified, resample_smote, resample_under, split_for_training
 
 # Search spaces: forest depths end at 30, the deepest that Spark fits; ``C`` is the inverse
@@ -73,7 +73,7 @@ def preprocessor(train: DataFrame, spec: FeatureSpec) -> Pipeline:
     """
     numeric, categorical = list(spec.numeric), list(spec.categorical)
     typed = train.select(*[F.col(c).cast("double").alias(c) for c in numeric])
-    medians = {r["column"]: r["value"] for r in exact_quantiles(typed, numeric, [0.5]).collect()}
+    medians = exact_medians(typed, numeric)
     filled = typed.select(*[F.coalesce(F.col(c), F.lit(medians.get(c, 0.0))).alias(c) for c in numeric])
     stats = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in numeric], *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric]).first()
     modes = {r["column"]: r["mode"] for r in column_modes(train, categorical).collect()} if categorical else {}
@@ -127,14 +127,22 @@ def encode(train: DataFrame, spec: FeatureSpec, id_: str, resample: bool = False
     return prep, _ready(encoded, spec.target).select("label", "weight", "features")
 
 
+def spread(df: DataFrame, id_: str) -> DataFrame:
+    """Rows dealt to all cores and kept: few files or a coalesced shuffle would leave every pass of a fit to a few tasks."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PART_ROWS))
+    return df.repartition(parts, id_).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_candidate(train: DataFrame, spec: FeatureSpec, estimator: Estimator, id_: str, resample: bool = False) -> PipelineModel:
     """One pipeline of preprocessing and estimator, fitted on the training rows only."""
+    train = spread(train.select(id_, *spec.features, spec.target), id_)
     prep, ready = encode(train, spec, id_, resample)
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return PipelineModel(stages=[*prep.stages, estimator.fit(ready)])
     finally:
         ready.unpersist()
+        train.unpersist()
 
 
 @dataclass
@@ -170,8 +178,8 @@ def cross_validate(
     kept for the end.  Histogram boosters of all folds and settings are grown together
     after that: they cost the passes of one.
     """
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     y = spec.target
+    folded = spread(folded.select(id_, "fold", *spec.features, y), id_)
     boosters = {name: e for name, e in estimators.items() if isinstance(e, HistogramBoosting)}
     kept: dict[str, list[DataFrame]] = {name: [] for name in estimators}
     seconds, held, parts = dict.fromkeys(estimators, 0.0), [], []

@@ -60,3 +60,18 @@ def test_hashed_rank_is_stable(spark):
     a = O.hashed_rank(df, "id", 42, ["y"]).orderBy("id").collect()
     b = O.hashed_rank(df.repartition(7), "id", 42, ["y"]).orderBy("id").collect()
     assert a == b and sorted(r["rank"] for r in a if r["y"] == 1) == list(range(1, 101))
+
+
+def test_medians_are_exact_and_read_few_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    n = 30_001
+    data = [(float(a), float(i % 7), None if i % 3 else float(b), None, float(i < 5)) for i, (a, b) in enumerate(rng.normal(size=(n, 2)))]
+    df = spark.createDataFrame(data, "a double, few double, part double, none double, flag double").repartition(6)
+    want = {r["column"]: r["value"] for r in O.exact_quantiles(df, df.columns, [0.5]).collect()}
+    monkeypatch.setattr(O, "exact_quantiles", lambda *a: pytest.fail("all rows ranked"))
+    assert O.exact_medians(df, df.columns) == want
+    for k in (1, 2, 3, 4):
+        assert O.exact_medians(df.orderBy("a").limit(k), ["a"])["a"] == pytest.approx(float(np.median([r["a"] for r in df.orderBy("a").limit(k).collect()])))
+    monkeypatch.undo()
+    monkeypatch.setattr(O, "MIDDLE", -0.2)  # ends that miss the middle
+    assert O.exact_medians(df, df.columns) == want
