@@ -55,6 +55,11 @@ class WordEncoder:
         self.flat, self.begin, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.filled = self.known = 0
 
+    def release(self) -> None:
+        """Frees the remembered words and pre-tokens."""
+        self._forget()
+        self.parts.clear()
+
     def _learn(self) -> None:
         """Encodes the words that turned up since the last call."""
         words, self.rows.fresh = self.rows.fresh, []
@@ -133,8 +138,17 @@ def encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
 _PIECES = "part int, rank long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _cut(path: str, size: int, end_id: int, remembered: int):
+def _cut(path: str, size: int, end_id: int, remembered: int, release: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from cut(batches)
+        finally:
+            if release:
+                encoder(path, remembered).release()
+                encoder.cache_clear()
+                pa.default_memory_pool().release_unused()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(path, remembered), TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches_by_bytes(batches, "text", 4 << 20):
@@ -256,13 +270,13 @@ def _assign(places: dict[int, np.ndarray]):
     return run
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED, release: bool = False) -> DataFrame:
     """Pieces of at most `size` ids of every document, its ids followed by `end_id`.
 
     Columns part, rank (among the pieces of one length in one partition), doc_id, piece,
     start, length, ids_crc32.  Null text counts as empty and gives one piece of length one.
     """
-    return narrow(docs, id_col, text_col).mapInArrow(_cut(tokenizer, size, end_id, remembered), _PIECES)
+    return narrow(docs, id_col, text_col).mapInArrow(_cut(tokenizer, size, end_id, remembered, release), _PIECES)
 
 
 def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
@@ -282,7 +296,7 @@ def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "all_rank").mapInArrow(_assign(places), columns)
 
 
-def best_two_fit(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+def best_two_fit(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED, release: bool = False) -> DataFrame:
     """`docs` packed into as few sequences of `size` tokens as best-two-fit finds.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.  Only
@@ -290,4 +304,4 @@ def best_two_fit(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int
     in memory, and with it the time, not the result.  Null and empty texts take one token; null ids
     and repeated rows are kept as rows of their own; an empty table gives an empty result.
     """
-    return pack(token_pieces(docs, tokenizer, size, end_id, id_col, text_col, remembered), size)
+    return pack(token_pieces(docs, tokenizer, size, end_id, id_col, text_col, remembered, release), size)

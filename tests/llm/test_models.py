@@ -1,14 +1,17 @@
 """Language model, classifiers, search, tokenizing and packing."""
 
+import inspect
 import math
 import zlib
 from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from riskweave.llm import hmm_lm, maxscore, merge_dropout, packing, quality, toxicity
 from riskweave.llm.common import remainder
 from riskweave.llm.queries import vocabulary
@@ -290,3 +293,14 @@ def test_two_pieces_take_the_place_of_one():
             for n, k in used:
                 packed[n] += times * k
         assert packed == counts
+
+
+def test_packing_in_the_pipeline_leaves_no_words_behind(monkeypatch):
+    """The workers of the pipeline serve the next stage: an encoder and its words end with the task."""
+    path = vocabulary("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "TaskContext", type("Context", (), {"get": lambda: type("Task", (), {"partitionId": lambda self: 0})()}))
+    batch = pa.record_batch({"doc_id": pa.array([1, 2], pa.int64()), "text": pa.array(["some words here", None])})
+    plain, freed = (list(packing._cut(path, 4096, 1, 77, release)(iter([batch]))) for release in (False, True))
+    assert plain == freed and packing.encoder.cache_info().currsize == 0
+    taken = inspect.signature(packing.best_two_fit).parameters["release"].default
+    assert taken is False and "release=True" in inspect.getsource(corpus_pipeline.packing)
