@@ -54,12 +54,17 @@ def batches_by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int)
     for batch in batches:
         sizes = batch.column(column).cast(pa.binary())
         lengths = np.diff(np.frombuffer(sizes.buffers()[1], np.int32)[sizes.offset : sizes.offset + len(sizes) + 1]) if len(sizes) else np.zeros(0, np.int64)
-        marks = np.cumsum(lengths, dtype=np.int64) // most
-        begins = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(marks) else []
-        for start, end in zip(begins, [*begins[1:], len(marks)], strict=True):
+        for start, end in runs(lengths, most):
             yield batch.slice(start, end - start)
 
 
+def runs(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Begins and ends of runs of rows whose lengths add up to about `most`, of one row at least."""
+    marks = np.cumsum(lengths, dtype=np.int64) // most
+    begins = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])).tolist() if len(marks) else []
+    yield from zip(begins, [*begins[1:], len(marks)], strict=False)
+
+
 def row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[F.Column, F.Column]:
     """Columns doc and tie that tell rows apart: the id, null as the smallest, and a hash of the text.
 

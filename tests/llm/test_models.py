@@ -254,6 +254,31 @@ def test_every_occurrence_draws_for_itself():
         assert merge_dropout.DropoutEncoder(path, 0.1, 5)(t, d).tolist() == got.tolist()
 
 
+def test_parts_merge_side_by_side_as_off_an_agenda(monkeypatch):
+    """New words cost no agenda each, and every part gets what its own agenda gives, at any rate and width."""
+    path, rng = vocabulary("piece_bpe_32k.model"), np.random.default_rng(8)
+    letters = list("aeinrst") * 3 + list("bdghlmou .,é🙂") + [" ", " ", "\n", merge_dropout.SPACE]
+    texts = ["".join(rng.choice(letters, rng.integers(90))) for _ in range(300)] + ["a" * n for n in (1, 2, 47, 48, 49, 120)] + ODD
+    for rate in (0.0, 0.1, 0.6, 1.0):
+        own = merge_dropout.DropoutEncoder(path, rate, 4)
+        with monkeypatch.context() as m:
+            m.setattr(merge_dropout, "LONG", 1)
+            want, numbers = own.encode(texts, list(range(len(texts))))
+        calls = []
+        with monkeypatch.context() as m:
+            m.setattr(merge_dropout, "_merged", lambda unit, *rest, f=merge_dropout._merged: calls.append(unit) or f(unit, *rest))
+            ids, sizes = own.encode(texts, list(range(len(texts))))
+        assert ids.tolist() == want.tolist() and sizes.tolist() == numbers.tolist()
+        assert all(len(unit) > merge_dropout.LONG for unit in calls)
+
+
+def test_decode_of_null_and_empty_ids(spark):
+    path = vocabulary("piece_bpe_32k.model")
+    ids = merge_dropout.DropoutEncoder(path, 0.1, 4)("é 🙂 x", 1).tolist()
+    rows = spark.createDataFrame([(1, None), (2, ids), (3, []), (4, ids)], "n int, ids array<int>").coalesce(1)
+    assert [r.decoded for r in merge_dropout.decode(rows, path).orderBy("n").collect()] == ["", "é 🙂 x", "", "é 🙂 x"]
+
+
 def test_word_encoder_is_the_tokenizer(corpus):
     encode = packing.WordEncoder(vocabulary("word_bpe_49k.json"))
     texts = [t or "" for _, t in corpus] + ODD
