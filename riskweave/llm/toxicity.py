@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import batches_by_bytes, narrow, raw_texts
-from riskweave.llm.word_features import BUCKETS, Featuriser, WordScores, labelled_sample, logistic
+from riskweave.llm.word_features import BUCKETS, Vocabulary, WordScores, labelled_sample, logistic
 
 #: Most labelled rows that training reads.
 SAMPLE = 6_000
@@ -96,11 +96,13 @@ def train(sample: list[tuple[bytes, int]], seed: int = 5, pull: float = PULL) ->
     Only neutral texts get a word replaced where they name no group; a toxic text keeps its words.
     """
     rng = np.random.default_rng(seed)
-    kinds, build = _kinds(), Featuriser()
+    kinds, words = _kinds(), Vocabulary()
     table, seen = np.zeros(BUCKETS), np.full(BUCKETS, 1e-3)
     bias, bias_seen = -2.0, 1e-1
-    inputs = [(Counter(tokens(text)), label) for text, label in sample]
-    lists = [[build.word(w) for w in counts] for counts, _ in inputs]
+    for term in kinds:
+        words.number(term)
+    inputs = [(*words.counted(tokens(text)), label) for text, label in sample]
+    words.freeze()
 
     def log_weight(buckets: np.ndarray) -> float:
         return min(max(REST + SCALE * float(table[buckets].mean()), LOWEST), HIGHEST)
@@ -115,23 +117,25 @@ def train(sample: list[tuple[bytes, int]], seed: int = 5, pull: float = PULL) ->
     for epoch in range(epochs if inputs else 0):
         rate = RATE * (1 - epoch / epochs)
         for at in rng.permutation(len(inputs)):
-            (counts, label), buckets = inputs[at], lists[at]
+            own, counts, label = inputs[at]
             total, slopes = 0.0, np.zeros(0)
-            if buckets:
-                sizes = np.fromiter(map(len, buckets), np.int64, len(buckets))
-                means = np.add.reduceat(table[np.concatenate(buckets)], np.cumsum(sizes) - sizes) / sizes
-                slopes = np.fromiter(counts.values(), np.float64, len(sizes)) * np.exp(np.clip(REST + SCALE * means, LOWEST, HIGHEST))
+            if len(own):
+                buckets, begins = words.together(own)
+                sizes = words.size[own].astype(np.int64)
+                means = np.add.reduceat(table[buckets], begins) / sizes
+                slopes = counts.astype(np.float64) * np.exp(np.clip(REST + SCALE * means, LOWEST, HIGHEST))
                 total = float(slopes.sum())
                 slopes /= 1 + total
             error = logistic(bias + math.log1p(total)) - label
             for i in np.flatnonzero(np.abs(error) * slopes > 1e-4).tolist():
-                step(buckets[i], error * slopes[i], rate)
+                step(words.buckets(own[i]), error * slopes[i], rate)
             bias_seen += error * error
             bias -= rate * error / np.sqrt(bias_seen)
-            if not pull or (label == 1 and not any(w in kinds for w in counts)):
+            if not pull or (label == 1 and not (own < len(kinds)).any()):
                 continue
-            for word, other, copies in counterfactual(counts, rng, kinds):
-                here, there = build.word(word), build.word(other)
+            named = Counter(dict(zip(map(words.names.__getitem__, own.tolist()), counts.tolist(), strict=True)))
+            for word, other, copies in counterfactual(named, rng, kinds):
+                here, there = words.buckets(words.number(word)), words.buckets(words.number(other))
                 less, more = copies * math.exp(log_weight(here)), copies * math.exp(log_weight(there))
                 rest = max(total - less, 0.0)
                 change = math.log1p(rest + more) - math.log1p(rest + less)

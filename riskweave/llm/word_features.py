@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Callable
 from zlib import crc32
@@ -70,6 +71,43 @@ class Featuriser:
         return ids, np.bincount(place, np.repeat(share / sizes, sizes))
 
 
+class Vocabulary:
+    """Numbers of words and their buckets in a few arrays, which are given back to the system whole."""
+
+    def __init__(self):
+        self.names: list[bytes] = []
+        self._numbers: dict[bytes, int] = {}
+        self._flat, self._size = array("i"), array("i")
+
+    def number(self, word: bytes) -> int:
+        if (found := self._numbers.get(word)) is None:
+            found = self._numbers[word] = len(self.names)
+            self.names.append(word)
+            buckets = bucket_list(word)
+            self._flat.extend(buckets)
+            self._size.append(len(buckets))
+        return found
+
+    def counted(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the distinct words, in order of appearance, and how often each appears."""
+        counts = Counter(words)
+        return np.fromiter(map(self.number, counts), np.int32, len(counts)), np.fromiter(counts.values(), np.int32, len(counts))
+
+    def freeze(self) -> None:
+        """No word is added from here on; buckets can be read."""
+        self.flat, self.size = np.frombuffer(self._flat, np.int32), np.frombuffer(self._size, np.int32)
+        self.begin = np.cumsum(self.size, dtype=np.int64) - self.size
+
+    def buckets(self, number: int) -> np.ndarray:
+        return self.flat[self.begin[number] : self.begin[number] + self.size[number]]
+
+    def together(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of words, one after the other, and where those of each begin."""
+        sizes = self.size[numbers].astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
+        return self.flat[np.repeat(self.begin[numbers] - begins, sizes) + np.arange(sizes.sum())], begins
+
+
 class WordScores(dict):
     """Score of a word under a linear model over buckets, remembered."""
 

@@ -279,6 +279,23 @@ def test_decode_of_null_and_empty_ids(spark):
     assert [r.decoded for r in merge_dropout.decode(rows, path).orderBy("n").collect()] == ["", "é 🙂 x", "", "é 🙂 x"]
 
 
+def test_training_keeps_each_word_once():
+    """The driver holds numbers of words for each text, not words."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    words = [b"word%d" % i for i in range(2000)]
+    sample = [(b" ".join(words[i] for i in rng.permutation(2000)[:400]), i % 2) for i in range(300)]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity, "STEPS", 1)
+        m.setattr(toxicity, "EPOCHS", 1)
+        tracemalloc.start()
+        toxicity.train(sample)
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+    assert peak < 11e6
+
+
 def test_word_encoder_is_the_tokenizer(corpus):
     encode = packing.WordEncoder(vocabulary("word_bpe_49k.json"))
     texts = [t or "" for _, t in corpus] + ODD
