@@ -148,6 +148,26 @@ def test_buckets_are_cut_into_blocks(documents, links, monkeypatch):
     assert got == brute_lines(rows, links)
 
 
+def test_pairs_are_told_by_hashes_as_by_sets(monkeypatch):
+    """Sets of shingles are built only for pairs close to the bound."""
+    rng = np.random.default_rng(5)
+    left = ["".join(rng.choice(list("abcd é"), rng.integers(1, 200))) for _ in range(400)]
+    right = [x if i % 9 == 0 else x[: len(x) * 9 // 10] + "".join(rng.choice(list("abcd"), i % 30)) for i, x in enumerate(left)]
+    alike = [line_dedup.jaccard(line_dedup.shingles(a), line_dedup.shingles(b)) for a, b in zip(left, right, strict=True)]
+    both, in_all = line_dedup.common(left, right)
+    assert np.allclose(both / in_all, alike)
+    calls = []
+    monkeypatch.setattr(line_dedup, "shingles", lambda line, f=line_dedup.shingles: calls.append(line) or f(line))
+    assert line_dedup.similar(left, right, 0.8).tolist() == [x >= 0.8 for x in alike]
+    assert len(calls) < len(left)
+
+
+@pytest.mark.parametrize("space", ["\t", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "  "])
+def test_white_space_of_any_kind_is_one_space(space):
+    assert line_dedup.normal_lines(f"A{space}b é\n{space}c{space}") == ["a b é", "c"]
+    assert line_dedup.normal_lines(f"A{space}b\n{space}c{space}") == ["a b", "c"]
+
+
 def test_rare_shingles_find_all_pairs_and_few_others(spark):
     lines = sorted(set(variants(300, 5)))
     texts = spark.createDataFrame(list(enumerate(lines)), "node long, content string")
