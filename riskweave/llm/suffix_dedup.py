@@ -29,6 +29,8 @@ from riskweave.llm.common import NO_ID, batches_by_bytes, raw_texts, stored
 
 #: Bytes of a short rank.
 SHORT = 24
+#: Bytes of texts ranked at once: a rank is eight bytes for each of them, and about ten such arrays live together.
+SLICE = 1 << 20
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _FIRST = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -118,7 +120,7 @@ def _sampled(threshold: int):
     """(doc, tie, text) -> sampled suffixes.  What repeats inside a batch is settled there: it gets a key of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_by_bytes(batches, "text", 2 << 20):
+        for batch in batches_by_bytes(batches, "text", SLICE):
             text, start, strings, offset, short, context = _suffixes(raw_texts(batch.column("text")), threshold)
             doc, tie = (batch.column(c).to_numpy()[text] for c in ("doc", "tie"))
             place = _place(start, offset, strings)
@@ -187,7 +189,7 @@ def _contexts(threshold: int):
     return run
 
 
-def _strings(threshold: int, chunk: int = 8 << 20):
+def _strings(threshold: int):
     """Contexts sorted by short rank and position -> runs of strings (doc, tie, start, strings) that occur earlier."""
 
     def settle(batch: pa.RecordBatch, last: tuple[int, np.ndarray] | None):
@@ -217,7 +219,7 @@ def _strings(threshold: int, chunk: int = 8 << 20):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for batch in batches_by_bytes(batches, "bytes", chunk):
+        for batch in batches_by_bytes(batches, "bytes", SLICE):
             if batch.num_rows:
                 found, last = settle(batch, last)
                 yield found
@@ -244,7 +246,9 @@ def cut_out(data: bytes, starts: np.ndarray, strings: np.ndarray, threshold: int
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), spans
 
 
-def _cut(threshold: int):
+def _cut(threshold: int, readable: bool = False):
+    """Bodies with their runs -> rest, numbers and the kept bytes; `readable`: rest and the kept bytes as text, parts of a cut character left out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -260,21 +264,18 @@ def _cut(threshold: int):
                 sizes.append(len(data))
                 for to, value in zip((kept, removed, spans), got, strict=True):
                     to.append(value)
+            if readable:
+                texts = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+                yield pa.record_batch([batch.column("rest"), texts], names=["rest", "text"])
+                continue
             numbers = [pa.array(c, pa.int64()) for c in (sizes, removed, spans)]
             yield pa.record_batch([batch.column("rest"), *numbers, pa.array(kept, pa.binary())], names=["rest", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, threshold: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row: rest (struct of its columns but the text), n_bytes, n_removed, n_spans, kept (binary).
-
-    Texts are UTF-8 bytes, null as empty.  A byte goes when it lies in a string of `threshold`
-    bytes that also starts earlier: in a smaller id, or earlier in the same document; strings
-    are judged on the input.  Null ids come first.  Rows that repeat an id are ordered by a
-    hash of their text, rows that repeat both by chance: one of them stays, the others go
-    whole if they reach the threshold.  Texts below the threshold stay as they are.
-    """
+def _marked(docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """Every row: rest (struct of its columns but the text), copy, packed body, runs of strings that occur earlier."""
     if threshold <= SHORT or threshold >= 1 << 15:
         raise ValueError(f"the threshold lies between {SHORT} and {1 << 15}")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -304,20 +305,25 @@ def remove_repeats(docs: DataFrame, threshold: int = 100, id_col: str = "doc_id"
 
     early = marks.filter("not open").select("doc", "tie", F.shiftright("place", 32).alias("start"), F.expr("place & 65535").alias("strings"))
     runs = early.union(late).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
-    whole = bodies.join(runs, ["doc", "tie"], "left").select("copy", "rest", "body", "runs")
-    return whole.mapInArrow(_cut(threshold), f"rest {plain.schema['rest'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return bodies.join(runs, ["doc", "tie"], "left").select("copy", "rest", "body", "runs")
 
 
-def _readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rest, kept) -> rest with the kept bytes as text; parts of a character that was cut go."""
-    for batch in batches:
-        texts = pa.array([k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()], pa.string())
-        yield pa.record_batch([batch.column("rest"), texts], names=["rest", "text"])
+def remove_repeats(docs: DataFrame, threshold: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row: rest (struct of its columns but the text), n_bytes, n_removed, n_spans, kept (binary).
+
+    Texts are UTF-8 bytes, null as empty.  A byte goes when it lies in a string of `threshold`
+    bytes that also starts earlier: in a smaller id, or earlier in the same document; strings
+    are judged on the input.  Null ids come first.  Rows that repeat an id are ordered by a
+    hash of their text, rows that repeat both by chance: one of them stays, the others go
+    whole if they reach the threshold.  Texts below the threshold stay as they are.
+    """
+    whole = _marked(docs, threshold, id_col, text_col)
+    return whole.mapInArrow(_cut(threshold), f"rest {whole.schema['rest'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def drop_repeats(docs: DataFrame, threshold: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with all its columns and the text without what `remove_repeats` removes; null becomes empty."""
-    found = remove_repeats(docs, threshold, id_col, text_col).select("rest", "kept")
-    kind = found.schema["rest"].dataType.simpleString()
-    texts = found.mapInArrow(_readable, f"rest {kind}, text string")
+    # One pass of Python: two in a row would keep two workers for every task, and their memory.
+    whole = _marked(docs, threshold, id_col, text_col)
+    texts = whole.mapInArrow(_cut(threshold, readable=True), f"rest {whole.schema['rest'].dataType.simpleString()}, text string")
     return texts.select(*[(F.col("text") if c == text_col else F.col("rest")[c]).alias(c) for c in docs.columns])

@@ -259,6 +259,16 @@ def test_drop_repeats_leaves_readable_text(documents):
     assert {r.doc_id: r.text for r in out.collect()} == {1: text, 2: "a", 3: "", 4: "tail"}
 
 
+def test_drop_repeats_takes_one_python_pass_after_its_last_join(documents, corpus, monkeypatch):
+    """A second one would keep one more worker for each task."""
+    df = documents(corpus)
+    passes = [f(df)._jdf.queryExecution().executedPlan().toString().count("MapInArrow ") for f in (suffix_dedup.drop_repeats, suffix_dedup.remove_repeats)]
+    assert passes[0] == passes[1] > 0
+    monkeypatch.setattr(suffix_dedup, "SLICE", 64)
+    got = {r.doc_id: r.text for r in suffix_dedup.drop_repeats(df).collect()}
+    assert got == {i: x[3].decode("utf-8", "ignore") for i, x in brute_repeats([(i, t or "") for i, t in corpus]).items()}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.binary(min_size=101, max_size=400), st.integers(25, 100))
 def test_ranks_name_equal_strings_alike(data, length):
