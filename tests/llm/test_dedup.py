@@ -200,6 +200,56 @@ def test_nearest_lines_name_unfinished_bands(monkeypatch):
         assert {(r["a"], r["b"]) for r in out if r["a"]} >= {(1, 2), (6, 7), (8, 9)}
 
 
+def test_nearest_lines_of_small_buckets_are_found_together(monkeypatch):
+    rng = np.random.default_rng(8)
+    size = line_dedup.BANDS * line_dedup.ROWS
+    rows = []
+    for band in range(300):
+        base = rng.integers(0, 256, size, dtype=np.uint8)
+        for _ in range(int(rng.integers(2, 9))):
+            sketch = np.where(rng.random(size) < rng.random() * 0.6, rng.integers(0, 256, size), base).astype(np.uint8)
+            rows.append((band, len(rows), int(rng.integers(0, 3)) + 3 * band, sketch))
+    batch = pa.record_batch({"band": pa.array([r[0] for r in rows]), "node": pa.array([r[1] for r in rows]), "group": pa.array([r[2] for r in rows]), "sketch": pa.array([r[3].tobytes() for r in rows])})
+    calls = []
+    monkeypatch.setattr(line_dedup, "_alike", lambda a, b, f=line_dedup._alike: calls.append(len(a)) or f(a, b))
+    out = pa.Table.from_batches(line_dedup._nearest(27)(iter([batch]))).to_pylist()
+    assert 1 <= len(calls) <= 5
+    main = {}
+    for band in range(300):
+        groups = [r[2] for r in rows if r[0] == band]
+        main[band] = {g for g in groups if groups.count(g) == max(map(groups.count, groups))}
+    near = {(x[1], y[1]) for x, y in combinations(rows, 2) if x[0] == y[0] and x[2] != y[2] and (x[3] == y[3]).sum() >= 27}
+    assert near and {(r["a"], r["b"]) for r in out if r["band"] is None} == near
+    assert {r["band"] for r in out if r["band"] is not None} == {0, 299}
+
+
+def test_a_band_of_many_lines_sends_one_line_a_block(monkeypatch):
+    """Lines of all blocks hang together by stars, whatever the parts."""
+    monkeypatch.setattr(line_dedup, "DEALT", 50)
+    rng = np.random.default_rng(3)
+    bands = rng.integers(-(1 << 62), 1 << 62, (200, line_dedup.BANDS))
+    bands[:, 0] = 77
+    bands[::2, 5] = np.arange(100) // 4
+    lines = pa.record_batch({"node": pa.array(np.arange(200)), "bands": pa.array([b.tobytes() for b in bands])})
+    blocks = pa.Table.from_batches(line_dedup._dealt(7)(iter(lines.slice(i, 50) for i in range(0, 200, 50)))).to_pylist()
+    assert sum(np.frombuffer(r["heads"], np.int64).tolist().count(77) for r in blocks) == 4
+    buckets, stars = {}, {}
+    for node, own in enumerate(bands.tolist()):
+        for b in own:
+            buckets.setdefault(b, set()).add(node)
+    for part in range(7):
+        own = [r for r in blocks if r["part"] == part]
+        found = line_dedup._stars(iter([pa.RecordBatch.from_pylist(own, pa.schema([("part", pa.int32()), *((n, pa.binary()) for n in ("heads", "firsts", "band", "a", "b"))]))]))
+        for r in pa.Table.from_batches(found).to_pylist():
+            stars.setdefault(r["band"], []).append((r["a"], r["b"]))
+    assert stars.keys() == {b for b, nodes in buckets.items() if len(nodes) > 1}
+    for band, links in stars.items():
+        met = {min(buckets[band])}
+        for _ in links:
+            met |= {x for a, b in links if {a, b} & met for x in (a, b)}
+        assert met == buckets[band]
+
+
 def test_of_repeated_rows_one_keeps_its_lines(documents):
     rows = [(1, "one line of text"), (1, "one line of text"), (2, None), (2, None), (None, "a line of no id\nand more"), (None, "a line of no id\nand more")]
     got = sorted((r.doc_id or 0, r.line, r.copy, r.group_size, r.kept) for r in line_dedup.near_lines(documents(rows)).collect())
