@@ -84,12 +84,23 @@ class _Velocity(StatefulProcessor):
             first = int(pdf["us"].min())
             soonest = first if soonest is None else min(soonest, first)
         if soonest is not None:
-            self.handle.registerTimer(soonest // 1000 + 1)
+            self._wake(soonest // 1000 + 1)
         return iter(())
 
+    def _wake(self, at: int) -> None:
+        """One timer an account, the soonest: it names the next one when it expires."""
+        timers = list(self.handle.listTimers())
+        if not timers or at < min(timers):
+            for t in timers:
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(at)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         done = timerValues.getCurrentWatermarkInMs() * 1000  # rows before this are complete
-        held = _unpacked([tuple(r) for r in self.rows.get()])
+        blocks = [tuple(r) for r in self.rows.get()]
+        if not blocks:  # an earlier timer of the same moment has answered all rows and dropped the history
+            return iter(())
+        held = _unpacked(blocks)
         held = held.sort_values(["us", "transaction_id"], kind="stable").reset_index(drop=True)
         due = held["waiting"].to_numpy() & (held["us"].to_numpy() < done)
         at = np.flatnonzero(due)

@@ -140,3 +140,31 @@ def test_velocity_keeps_a_block_of_rows_in_an_entry_of_state():
     us = np.array([0, 1, 2])
     small, big = (V.window_features(us, np.array(c, np.int64), np.array([2])) for c in ([100, 200, 600], [10**17, 2 * 10**17, 6 * 10**17]))
     assert small["txn_amt_sum_24h"][0] == 9.0 and abs(big["txn_amt_std_24h"][0] / small["txn_amt_std_24h"][0] - 1e15) < 1.0
+
+
+def test_velocity_of_an_account_with_several_timers_of_one_moment(spark, tmp_path):
+    """The account's rows came in batches of falling time; the last watermark passes all of them, and the day after, at once."""
+    V.enable_state_store(spark)
+    folder = tmp_path / "in"
+    put(folder, "a.json", [message(1, ts="2024-01-05T00:00:00+00:00", amount=3.0)])
+    put(folder, "b.json", [message(2, ts="2024-01-04T23:00:00+00:00", amount=4.0)])
+    put(folder, "c.json", [message(3, ts="2024-01-05T00:30:00+00:00", amount=5.0)])
+    put(folder, "z.json", [message("z", "~", ts="2024-03-01T00:00:00+00:00")])
+    out, _ = run(spark, folder, lambda d: V.stream_velocity(d, "12 days"), tmp_path)
+    got = {r["transaction_id"]: (r["txn_cnt_1h"], r["txn_cnt_24h"], r["txn_amt_sum_24h"]) for r in out.collect()}
+    assert got == {"t2": (1, 1, 4.0), "t1": (2, 2, 7.0), "t3": (2, 3, 12.0)}
+
+
+def test_velocity_answers_a_timer_without_rows():
+    """State written by an earlier version may hold several timers of an account: those after the first find nothing."""
+    class Empty:
+        def get(self):
+            return iter(())
+
+    class Now:
+        def getCurrentWatermarkInMs(self):
+            return 10**12
+
+    processor = V._Velocity()
+    processor.rows = Empty()
+    assert list(processor.handleExpiredTimer(("a",), Now(), None)) == []
