@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +14,9 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from riskweave.llm import components, exact_dedup, line_dedup, simhash, suffix_dedup
+from riskweave.llm import common, components, exact_dedup, line_dedup, simhash, suffix_dedup
 
 
 def lowered(text):
@@ -350,3 +353,41 @@ def test_empty_tables(documents):
     assert simhash.simhash_components(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
     assert line_dedup.near_lines(nothing).count() == 0 and line_dedup.drop_lines(nothing).count() == 0
     assert suffix_dedup.remove_repeats(nothing).count() == 0
+
+
+def tables_left(spark, since):
+    """Kinds of tables in the shared folder that were not there before."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    now = {p.name for p in folder.iterdir()}
+    return now, sorted(n.rsplit("-", 1)[0] for n in now - since)
+
+
+def test_line_dedup_leaves_only_tables_that_its_result_reads(spark, documents, corpus):
+    since, _ = tables_left(spark, set())
+    found = line_dedup.near_lines(documents(corpus))
+    now, left = tables_left(spark, since)
+    assert left == ["line-groups", "lines", "lines-alike"] and found.count() > 0
+    line_dedup.drop_lines(documents(corpus)).count()
+    assert tables_left(spark, now)[1] == ["lost-lines"]
+
+
+def test_components_keep_the_last_round_only(spark):
+    since, _ = tables_left(spark, set())
+    found = components.components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long"))
+    assert tables_left(spark, since)[1] == ["links"] and found.filter("component = 0").count() == 41
+
+
+def test_shuffle_files_of_a_stored_table_go_with_its_write(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before, own = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(own, "false")
+    out = common.stored(spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before and out.count() == 7 and spark.conf.get(own, "false") == kept
+    common.discard(out)
+    assert not Path(out.stored_at.removeprefix("file://")).exists()
